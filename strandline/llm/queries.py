@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, line_dedup
+from strandline.llm import decontamination, line_dedup, packing, sharding, token_counts
 from strandline.llm._shared import read_table
 
 
@@ -18,6 +18,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(read_table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_report(read_table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(read_table(spark, sf_dir, "documents"))
+
+
 _OP1 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -53,5 +65,8 @@ FROM s GROUP BY doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
+    "op5_token_counts": op5_token_counts,
+    "op8_sharding": op8_sharding,
 }
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op2_line_dedup": _OP2}
