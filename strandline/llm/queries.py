@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, line_dedup, packing, sharding, token_counts
+from strandline.llm import decontamination, line_dedup, near_dedup, packing, sharding, token_counts
 from strandline.llm._shared import read_table
 
 
@@ -26,6 +26,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_near_dedup": op6_near_dedup,
     "op8_sharding": op8_sharding,
 }
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op2_line_dedup": _OP2}
