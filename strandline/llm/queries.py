@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, line_dedup, near_dedup, packing, sharding, token_counts
+from strandline.llm import decontamination, line_dedup, near_dedup, packing, quality_classifier, sharding, token_counts
 from strandline.llm._shared import read_table
 
 
@@ -34,6 +34,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 _OP1 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -73,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_near_dedup": op6_near_dedup,
     "op8_sharding": op8_sharding,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op2_line_dedup": _OP2}
