@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, line_dedup, near_dedup, packing, quality_classifier, sharding, token_counts
+from strandline.llm import decontamination, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, sharding, token_counts
 from strandline.llm._shared import read_table
 
 
@@ -30,6 +30,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_token_counts": op5_token_counts,
     "op6_near_dedup": op6_near_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_sharding": op8_sharding,
     "op10_quality_classifier": op10_quality_classifier,
 }
