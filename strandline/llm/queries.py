@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, sharding, token_counts
+from strandline.llm import decontamination, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, sharding, token_counts
 from strandline.llm._shared import read_table
 
 
@@ -22,6 +22,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(read_table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(read_table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_near_dedup": op6_near_dedup,
     "op7_lm_scoring": op7_lm_scoring,
