@@ -52,9 +52,8 @@ class LineRuns:
         self.levels: dict[int, list[str]] = defaultdict(list)
 
     def add(self, keys: DataFrame) -> None:
-        """Merge-anti-join a batch's keys (h1, h2, n_docs, keeper) with the runs, then add them as a run."""
-        out = keys.repartition(self.buckets, "h1")
-        known = F.lit(False)
+        """Merge-anti-join a batch's keys (h1, h2, n_docs, keeper), grouped by (h1, h2), with the runs, then add them as a run."""
+        out, known = keys, F.lit(False)
         for i, name in enumerate(x for runs in self.levels.values() for x in runs):
             run = self.spark.table(name).select("h1", "h2", F.lit(True).alias(f"in_{i}"))
             out = out.join(run.hint("merge"), ["h1", "h2"], "left")
@@ -67,9 +66,17 @@ class LineRuns:
 
     def merged(self) -> DataFrame:
         """All keys with their whole counts and keepers."""
-        names = [x for runs in self.levels.values() for x in runs]
-        both = reduce(DataFrame.unionAll, [self.spark.table(x) for x in names])
-        return both.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+        return self._merge([x for runs in self.levels.values() for x in runs])
+
+    def _merge(self, names: list[str]) -> DataFrame:
+        """Full merge joins of runs; buckets meet buckets, without a shuffle."""
+
+        def two(a: DataFrame, b: DataFrame) -> DataFrame:
+            b = b.withColumnsRenamed({"n_docs": "n_b", "keeper": "keeper_b"}).hint("merge")
+            n = F.coalesce("n_docs", F.lit(0)) + F.coalesce("n_b", F.lit(0))
+            return a.join(b, ["h1", "h2"], "full").select("h1", "h2", n.alias("n_docs"), F.greatest("keeper", "keeper_b").alias("keeper"))
+
+        return reduce(two, [self.spark.table(x) for x in names])
 
     def drop(self) -> None:
         for runs in self.levels.values():
@@ -79,16 +86,14 @@ class LineRuns:
 
     def _compact(self, level: int, to: int) -> None:
         old = self.levels[level]
-        both = reduce(DataFrame.unionAll, [self.spark.table(x) for x in old])
-        keys = both.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
-        self._write(keys.repartition(self.buckets, "h1"), to)
+        self._write(self._merge(old), to)
         self.levels[level] = []
         for name in old:
             self._drop(name)
 
     def _write(self, keys: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
-        keys.write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.folder}/{name}").saveAsTable(name)
+        keys.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", f"{self.folder}/{name}").saveAsTable(name)
         self.levels[level].append(name)
 
     def _drop(self, name: str) -> None:
@@ -104,8 +109,10 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
     ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), "text")
     cuts = [] if batches < 2 else ids.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01)
     batch = reduce(lambda a, c: a + F.when(F.col("id") <= F.lit(int(c)), 1).otherwise(0), cuts, F.lit(0))
-    keys = F.array_distinct(F.transform(F.filter(_lines(F.col("text")), lambda x: F.length(F.btrim(x, F.lit(_STRIPPED))) >= min_chars), lambda x: _hash(line_key(x))))
-    ids.select("id", batch.alias("batch"), F.explode(keys).alias("key")).select("id", "batch", "key.*").write.partitionBy("batch").parquet(f"{folder}/digests")
+    stripped = F.transform(_lines(F.col("text")), lambda x: F.btrim(x, F.lit(_STRIPPED)))
+    keys = F.array_distinct(F.transform(F.filter(stripped, lambda x: F.length(x) >= min_chars), lambda x: F.translate(x, _UPPER, _LOWER)))
+    lines = ids.select("id", batch.alias("batch"), F.explode(keys).alias("key"))
+    lines.select("id", "batch", _hash(F.col("key")).alias("hash")).select("id", "batch", "hash.*").write.partitionBy("batch").parquet(f"{folder}/digests")
     digests = spark.read.schema("id long, h1 long, h2 long, batch int").parquet(f"{folder}/digests")
     runs = LineRuns(spark, folder, partitions_for(spark))
     for b in range(len(cuts) + 1):
