@@ -4,16 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandline.llm import decontamination, line_dedup, near_dedup, packing, quality_classifier
 from strandline.llm._shared import read_table, scratch_dir
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    return quality_classifier.keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that many share; n_chars follows the text."""
+    return line_dedup.without_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.one_of_each_group(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontamination.drop_leaking_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, packed into sequences."""
+    return packing.packing_report(docs)
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("leaks", leaks), ("packed", packed)]
+
+#: SQL can't express these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; every other stage is written to the shared folder and read back."""
     docs = read_table(spark, sf_dir, "documents")
     folder = scratch_dir(spark, "pipeline")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
