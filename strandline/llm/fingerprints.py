@@ -1,11 +1,11 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-A text's terms are its lower-cased words (at most 32 characters each; a text without any is one
-term), weighted by their counts. For each of SAMPLES positions a term of weight w draws from its
-hash r and c, gamma(2, 1), and b, uniform; with t = floor(ln w / r + b) its value is
-ln a = ln c - r (t - b + 1), and the term with the least value is sampled. Two fingerprints agree at a
-position with the probability of the texts' generalised Jaccard similarity. A position keeps 16 bits
-of a hash of (term, t), written as 4 hex digits.
+A text's terms are its lower-cased words (a text without any is one term), weighted by their
+counts. For each of SAMPLES positions a term of weight w draws from its hash r and c, gamma(2, 1),
+and b, uniform; with t = floor(ln w / r + b) its value is a = c exp(-r (t - b + 1)), and the term
+with the least value is sampled. Two fingerprints agree at a position with the probability of the
+texts' generalised Jaccard similarity. A position keeps 16 bits of a hash of (term, t), written as
+4 hex digits.
 
 Documents are dealt into ranges of doc_id of about PARTITION_BYTES of text, so that one shuffle of
 the texts serves the search for the next document and both aggregations. Each range also holds
@@ -20,45 +20,42 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SAMPLES = 64
+SAMPLES = 48
 PARTITION_BYTES = 8 << 20
 MOST_RANGES = 1 << 16
-_LEVELS = 1024
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]{1,32}"
+_NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _gamma_levels() -> list[float]:
-    """Quantiles of gamma(2, 1), whose distribution is 1 - (1 + x) exp(-x), at the middles of equal shares."""
-    x = np.linspace(0, 40, 400_001)
-    return np.interp((np.arange(_LEVELS) + 0.5) / _LEVELS, 1 - (1 + x) * np.exp(-x), x).tolist()
+def _bits(u: Column, shift: int, n: int) -> Column:
+    return (F.shiftrightunsigned(u, shift) if shift else u).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
 
 
-def _terms(text: Column) -> Column:
-    found = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(text))
+def _uniform(u: Column, shift: int, n: int) -> Column:
+    """A number strictly between 0 and 1 from n bits of u."""
+    return (_bits(u, shift, n).cast("double") + 0.5) * 2.0**-n
 
 
-def _samples(term: Column, weight: Column, n: int) -> list[Column]:
-    """For each position a long: the term's value in the high bits, 16 bits of (term, t) in the low."""
-    levels = _gamma_levels()
-    gamma, log_gamma = F.lit(levels), F.lit(np.log(levels).tolist())
-    log_w = F.ln(weight.cast("double"))
-    out = []
-    for j in range(n):
-        u = F.xxhash64(term, F.lit(j))
-        r = F.get(gamma, u.bitwiseAND(F.lit(_LEVELS - 1).cast("long")).cast("int"))
-        c = F.get(log_gamma, F.shiftrightunsigned(u, 10).bitwiseAND(F.lit(_LEVELS - 1).cast("long")).cast("int"))
-        b = (F.shiftrightunsigned(u, 20).bitwiseAND(F.lit(_LEVELS - 1).cast("long")).cast("double") + 0.5) / _LEVELS
-        t = F.floor(log_w / r + b)
-        value = ((c - r * (t - b + 1) + 64) * float(1 << 40)).cast("long")
-        mark = (F.shiftrightunsigned(u, 30) + t * 40503).bitwiseAND(F.lit(0xFFFF).cast("long"))
-        out.append(F.shiftleft(value, 16).bitwiseOR(mark))
-    return out
+def _picks(counts: DataFrame, keys: list[str], samples: int) -> DataFrame:
+    """counts(*keys, term, w) to one row per keys with p0, p1, ...: the least of the terms' values of each position.
+
+    A value is a long: a in units of 2^-42 above 16 bits of (term, t). One hash of 64 bits gives
+    the five uniform numbers of a draw, a product of two standing for a gamma variable.
+    """
+    least = []
+    for j in range(samples):
+        u = F.xxhash64("term", F.lit(j))
+        log_r = F.ln(_uniform(u, 0, 12) * _uniform(u, 12, 12))  # -r
+        log_c = F.ln(_uniform(u, 24, 12) * _uniform(u, 36, 12))  # -c
+        b = _uniform(u, 48, 16)
+        t = F.floor(b - F.col("log_w") / log_r)
+        value = (log_c * F.exp(log_r * (t - b + 1)) * -float(1 << 42)).cast("long")
+        mark = (F.shiftrightunsigned(u, 48) + t * 40503).bitwiseAND(F.lit(0xFFFF).cast("long"))
+        least.append(F.min(F.shiftleft(value, 16).bitwiseOR(mark)).alias(f"p{j}"))
+    return counts.select(*keys, "term", F.ln(F.col("w").cast("double")).alias("log_w")).groupBy(*keys).agg(*least)
 
 
 def _hex(packed: list[Column]) -> Column:
@@ -98,10 +95,11 @@ def with_next(docs: DataFrame, partition_bytes: int = PARTITION_BYTES) -> DataFr
     rows, n = _ranged(docs, partition_bytes)
     key = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tie")
     heads = rows.groupBy("range").agg(F.min_by(F.struct("doc_id", "text", "tie"), key).alias("head"))
-    # one row a range: the previous range, round the circle
+    # the ranges alone, MOST_RANGES at most, are put in a circle in one task
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    heads = heads.select(before.alias("range"), "head.*").withColumn("marked", F.lit(True))
-    both = rows.withColumn("marked", F.lit(False)).unionByName(heads).repartition(n, "range")
+    circle = rows.select("range").distinct().select("range", before.alias("before"))
+    heads = heads.join(circle, "range").select(F.col("before").alias("range"), "head.*").withColumn("marked", F.lit(True))
+    both = rows.withColumn("marked", F.lit(False)).unionByName(heads).repartitionById(n, "range")
     order = Window.partitionBy("range").orderBy("marked", F.col("doc_id").asc_nulls_first(), "tie")
     return both.select("range", "marked", "doc_id", "text", F.row_number().over(order).alias("seq"), F.lead("text").over(order).alias("next_text"))
 
@@ -116,9 +114,11 @@ def fingerprint_report(docs: DataFrame, samples: int = SAMPLES, partition_bytes:
     facts = rows.filter("NOT marked").select("range", "seq", "doc_id", size.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
 
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))
-    words = rows.select("range", "seq", F.explode(sides).alias("s")).filter("s.t IS NOT NULL").select("range", "seq", "s.side", F.explode(_terms(F.col("s.t"))).alias("term"))
+    found = F.array_remove(F.split(F.lower("s.t"), _NO_WORD), "")
+    words = rows.select("range", "seq", F.explode(sides).alias("s")).filter("s.t IS NOT NULL").select("range", "seq", "s.side", "s.t", found.alias("found"))
+    words = words.select("range", "seq", "side", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("t"))).alias("term"))
     counts = words.groupBy("range", "seq", "side", F.xxhash64("term").alias("term")).agg(F.count("*").alias("w"))
-    picks = counts.groupBy("range", "seq", "side").agg(*[F.min(x).alias(f"p{j}") for j, x in enumerate(_samples(F.col("term"), F.col("w"), samples))])
+    picks = _picks(counts, ["range", "seq", "side"], samples)
     prints = picks.select("range", "seq", "side", _hex([F.col(f"p{j}") for j in range(samples)]).alias("print"))
     pairs = prints.groupBy("range", "seq").agg(F.max(F.when(F.col("side") == 0, F.col("print"))).alias("fingerprint"), F.max(F.when(F.col("side") == 1, F.col("print"))).alias("edited_fingerprint"))
     pairs = pairs.withColumn("next", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("seq")))
