@@ -122,12 +122,15 @@ def final_sequence(contig: Column, start: Column, end: Column) -> Column:
     return F.when(stop > 0, F.substring(onward, F.lit(1), stop + 3))
 
 
+# The texts of a mutation's effect and of its net result.
+DELETION = "Global effect: DELETION. BLAST sequence length shorter than matching allele sequence length"
+SUBSTITUTION = "Global effect: BASE SUBSTITUTION. BLAST sequence length equal to matching allele sequence length"
+INSERTION = "Global effect: INSERTION. BLAST sequence length longer than matching allele sequence length"
+NET_RESULT = " / Net result: {tag}. Final gene sequence length {size} than matching allele sequence length"
+
+
 def mutation_effect(found_length: Column, allele_length: Column, tag: Column) -> Column:
     """Text for ASM and ALM calls."""
-    what = (
-        F.when(found_length < allele_length, "DELETION. BLAST sequence length shorter than")
-        .when(found_length == allele_length, "BASE SUBSTITUTION. BLAST sequence length equal to")
-        .otherwise("INSERTION. BLAST sequence length longer than")
-    )
-    size = F.when(tag == "ASM", "shorter").otherwise("longer")
-    return F.concat(F.lit("Global effect: "), what, F.lit(" matching allele sequence length / Net result: "), tag, F.lit(". Final gene sequence length "), size, F.lit(" than matching allele sequence length"))
+    what = F.when(found_length < allele_length, DELETION).when(found_length == allele_length, SUBSTITUTION).otherwise(INSERTION)
+    net = F.when(tag == "ASM", NET_RESULT.format(tag="ASM", size="shorter")).otherwise(NET_RESULT.format(tag="ALM", size="longer"))
+    return F.concat(what, net)
