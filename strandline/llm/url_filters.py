@@ -4,8 +4,8 @@ List entries are events (kind, pattern, action add or remove, at). They become v
 and an as-of join holds every capture against the entries active when it was fetched: a capture is
 expanded to its lookup keys (its host and each parent domain, its URL and each prefix of its path up
 to DEPTH segments), which meet the intervals by equality of kind and pattern and by time. Only keys of
-patterns that occur in the lists survive the join; a host with a third of all captures is
-dealt again by adaptive execution, as the interval side of one pattern stays small.
+patterns that occur in the lists survive the join. A host may have a third of all captures: keys are
+salted by SALTS and the intervals, small beside the captures, are repeated for each salt.
 
 Kinds: domain (a host or any below it), prefix (host/path at a segment's end), url (the whole URL
 without scheme, query and fragment). Hosts are compared in lower case without port, user and
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DEPTH = 4
+SALTS = 16
 # The surrogate history of the query: days are counted from this date.
 FIRST_DAY = "2024-01-01"
 
@@ -62,9 +63,9 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 def matches(captures: DataFrame, entries: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(capture_id, kind, pattern) for every entry active for a capture(capture_id, url, fetched_at)."""
-    keys = captures.select("capture_id", "fetched_at", F.explode(lookup_keys(F.col("url"), depth)).alias("k")).select("capture_id", "fetched_at", "k.*")
-    listed = validity_intervals(entries)
-    met = keys.join(listed, ["kind", "pattern"]).filter((F.col("fetched_at") >= F.col("active_from")) & (F.col("active_to").isNull() | (F.col("fetched_at") < F.col("active_to"))))
+    keys = captures.select("capture_id", "fetched_at", F.explode(lookup_keys(F.col("url"), depth)).alias("k")).select("capture_id", "fetched_at", "k.*", F.pmod(F.xxhash64("capture_id", "fetched_at"), F.lit(SALTS)).alias("salt"))
+    listed = validity_intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    met = keys.join(listed, ["kind", "pattern", "salt"]).filter((F.col("fetched_at") >= F.col("active_from")) & (F.col("active_to").isNull() | (F.col("fetched_at") < F.col("active_to"))))
     return met.select("capture_id", "kind", "pattern").distinct()
 
 
