@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strandline.llm._shared import partitions_for, scratch_dir
+from strandline.llm._shared import scratch_dir
 
 SHARDS = 16
 SEED = 20_240_229
@@ -58,7 +58,7 @@ def write_shards(docs: DataFrame, folder: str, n_shards: int = SHARDS, seed: int
         table = table.take(order).append_column("place", pa.array(np.arange(len(order))))
         return table.select(out.names)
 
-    dealt = scattered.repartition(min(partitions_for(docs.sparkSession), first[-1]), "bucket")
+    dealt = scattered.repartitionById(first[-1], "bucket")  # a bucket is a task
     shuffled = dealt.groupBy("bucket").applyInArrow(fisher_yates, out)
     shuffled.sortWithinPartitions("shard", "bucket", "place").write.partitionBy("shard").parquet(folder)
 
