@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SAMPLES = 48
+FAR = 20
 PARTITION_BYTES = 8 << 20
 MOST_RANGES = 1 << 16
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,26 +41,31 @@ def _uniform(u: Column, shift: int, n: int) -> Column:
 
 
 def _picks(counts: DataFrame, keys: list[str], samples: int) -> DataFrame:
-    """counts(*keys, term, w) to one row per keys with p0, p1, ...: the least of the terms' values of each position.
+    """counts(*keys, n, term, w), n the text's words, to one row per keys with p0, p1, ...: the least of the terms' values of each position.
 
     A value is a long: a in units of 2^-42 above 16 bits of (term, t). One hash of 64 bits gives
-    the five uniform numbers of a draw, a product of two standing for a gamma variable.
+    the five uniform numbers of a draw, a product of two standing for a gamma variable. The least a
+    of a text is exponential with rate n; a value whose lower bound, c >= 1 - exp(-c) and
+    r (t - b + 1) <= r + ln w, already lies above FAR / n is not computed: it is the least with a
+    probability of exp(-FAR), 2 in 10^9.
     """
     least = []
     for j in range(samples):
         u = F.xxhash64("term", F.lit(j))
-        log_r = F.ln(_uniform(u, 0, 12) * _uniform(u, 12, 12))  # -r
-        log_c = F.ln(_uniform(u, 24, 12) * _uniform(u, 36, 12))  # -c
+        exp_r = _uniform(u, 0, 12) * _uniform(u, 12, 12)  # exp(-r)
+        exp_c = _uniform(u, 24, 12) * _uniform(u, 36, 12)  # exp(-c)
+        log_r = F.ln(exp_r)
         b = _uniform(u, 48, 16)
         t = F.floor(b - F.col("log_w") / log_r)
-        value = (log_c * F.exp(log_r * (t - b + 1)) * -float(1 << 42)).cast("long")
+        value = (F.ln(exp_c) * F.exp(log_r * (t - b + 1)) * -float(1 << 42)).cast("long")
         mark = (F.shiftrightunsigned(u, 48) + t * 40503).bitwiseAND(F.lit(0xFFFF).cast("long"))
-        least.append(F.min(F.shiftleft(value, 16).bitwiseOR(mark)).alias(f"p{j}"))
-    return counts.select(*keys, "term", F.ln(F.col("w").cast("double")).alias("log_w")).groupBy(*keys).agg(*least)
+        least.append(F.min(F.when((1 - exp_c) * exp_r <= F.col("most"), F.shiftleft(value, 16).bitwiseOR(mark))).alias(f"p{j}"))
+    drawn = counts.select(*keys, "term", F.ln(F.col("w").cast("double")).alias("log_w"), (F.col("w") * float(FAR) / F.col("n")).alias("most"))
+    return drawn.groupBy(*keys).agg(*least)
 
 
 def _hex(packed: list[Column]) -> Column:
-    return F.concat(*[F.lpad(F.lower(F.hex(p.bitwiseAND(F.lit(0xFFFF).cast("long")))), 4, "0") for p in packed])
+    return F.concat(*[F.lpad(F.lower(F.hex(F.coalesce(p, F.lit(0).cast("long")).bitwiseAND(F.lit(0xFFFF).cast("long")))), 4, "0") for p in packed])
 
 
 def likeness(a: Column, b: Column, n: int = SAMPLES) -> Column:
@@ -116,8 +122,8 @@ def fingerprint_report(docs: DataFrame, samples: int = SAMPLES, partition_bytes:
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))
     found = F.array_remove(F.split(F.lower("s.t"), _NO_WORD), "")
     words = rows.select("range", "seq", F.explode(sides).alias("s")).filter("s.t IS NOT NULL").select("range", "seq", "s.side", "s.t", found.alias("found"))
-    words = words.select("range", "seq", "side", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("t"))).alias("term"))
-    counts = words.groupBy("range", "seq", "side", F.xxhash64("term").alias("term")).agg(F.count("*").alias("w"))
+    words = words.select("range", "seq", "side", F.greatest(F.size("found"), F.lit(1)).alias("n"), F.explode_outer(F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("t"))).alias("term"))
+    counts = words.groupBy("range", "seq", "side", "n", F.xxhash64("term").alias("term")).agg(F.count("*").alias("w"))
     picks = _picks(counts, ["range", "seq", "side"], samples)
     prints = picks.select("range", "seq", "side", _hex([F.col(f"p{j}") for j in range(samples)]).alias("print"))
     pairs = prints.groupBy("range", "seq").agg(F.max(F.when(F.col("side") == 0, F.col("print"))).alias("fingerprint"), F.max(F.when(F.col("side") == 1, F.col("print"))).alias("edited_fingerprint"))
