@@ -64,13 +64,17 @@ def write_shards(docs: DataFrame, folder: str, n_shards: int = SHARDS, seed: int
 
 
 def read_shards(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
-    """The written records with shard and slot, the record's number in its shard."""
+    """The written records of docs with shard, bucket and place."""
     kept = [f for f in docs.schema.fields if f.name.lower() not in ("shard", "bucket", "place", "deal")]
     schema = T.StructType([*kept, T.StructField("bucket", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("shard", T.IntegerType())])
-    written = spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def with_slots(records: DataFrame, written: DataFrame) -> DataFrame:
+    """records, rows of written or made from them, with slot, the record's number in its shard, for bucket and place."""
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = written.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select("bucket", F.coalesce(before, F.lit(0)).alias("before"))
-    return written.join(offsets, "bucket").withColumn("slot", F.col("before") + F.col("place")).drop("before", "place")
+    return records.join(offsets, "bucket").withColumn("slot", F.col("before") + F.col("place")).drop("before", "place", "bucket")
 
 
 def shard_report(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
@@ -79,9 +83,11 @@ def shard_report(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     folder = scratch_dir(spark, "shards")
     docs = docs.select("doc_id", "text")
     write_shards(docs, folder, n_shards)
-    return read_shards(spark, folder, docs).select(
+    written = read_shards(spark, folder, docs)
+    digests = written.select(  # before the join, which then moves no text
         "doc_id", record_size(F.col("text")).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("key").alias("law"), "shard", "slot",
+        F.lit("key").alias("law"), "shard", "bucket", "place",
         shard_of(F.col("doc_id"), n_shards + 1).alias("grown_shard"),
     )
+    return with_slots(digests, written).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
