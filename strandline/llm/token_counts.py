@@ -48,7 +48,7 @@ def count(texts: list[str | None], path: str, batch_bytes: int = BATCH_BYTES) ->
         for part in [] if not text else [text] if path.endswith(".model") else _tokens.parts(text):
             batch.append(part)
             rows.append(i)
-            held += len(part)
+            held += len(part.encode())
             if held >= batch_bytes:
                 flush()
     flush()
