@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SAMPLES = 48
+SAMPLES = 64
 FAR = 20
 PARTITION_BYTES = 8 << 20
 MOST_RANGES = 1 << 16

@@ -301,6 +301,13 @@ def test_fingerprints(spark):
     assert got[4].fingerprint == got[5].fingerprint != got[6].fingerprint
 
 
+def test_fingerprints_take_64_samples(spark):
+    df = spark.createDataFrame([(1, "one two three"), (2, "one two four")], "doc_id long, text string")
+    for r in fingerprints.fingerprint_report(df).collect():
+        assert len(r.fingerprint) == len(r.edited_fingerprint) == 4 * 64
+        assert r.near_next * 64 == int(r.near_next * 64)
+
+
 def test_fingerprints_of_hard_tables(spark, docs):
     hot = docs.select("doc_id", "text").unionByName(spark.range(60).select(F.lit(3).cast("long").alias("doc_id"), F.lit("same text " * 50).alias("text")))
     out = fingerprints.fingerprint_report(hot, samples=8, partition_bytes=1000)
