@@ -1,6 +1,6 @@
 """Typing inputs made from general tables, so that every operator can run where no genomes are.
 
-A locus is a document's language, an allele a document, its sequence the first letters of its
+A locus is a document's language, an allele a document, its sequence all letters of its
 text turned into ACGT; the call matrix comes from events, hits from line items, profiles from parts.
 """
 
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dna(text: Column) -> Column:
-    return F.translate(F.upper(F.substring(F.regexp_replace(text, "[^A-Za-z]", ""), 1, 300)), LETTERS, BASES)
+    return F.translate(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), LETTERS, BASES)
 
 
 def text_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
