@@ -250,28 +250,28 @@ def type_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typing.assign_types(samples, s.part_calls(spark, sf_dir), s.part_profiles(spark, sf_dir).filter("st_ord % 3 <> 0"))
 
 
-def _short_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The DNA of the texts of each source, source the locus: loci small enough for all-pairs results."""
+def _source_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The DNA of the whole texts of each source, source the locus."""
     d = s.table(spark, sf_dir, "documents")
-    return d.select((F.col("doc_id") % F.lit(997)).cast("string").alias("locus"), F.col("doc_id").cast("string").alias("allele_id"), s.dna(F.col("text")).alias("seq"), F.col("doc_id").alias("ord"))
+    return d.select(F.col("source").alias("locus"), F.col("doc_id").cast("string").alias("allele_id"), s.dna(F.col("text")).alias("seq"), F.col("doc_id").alias("ord"))
 
 
 @query
 def kmer_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return representatives.word_distances(_short_dna(spark, sf_dir)).withColumn("distance", F.round("distance", 6))
+    return representatives.word_distances(_source_dna(spark, sf_dir)).withColumn("distance", F.round("distance", 6))
 
 
 @query
 def centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _short_dna(spark, sf_dir)
-    d = representatives.word_distances(a).withColumn("distance", F.round("distance", 6).cast("decimal(18,6)"))
-    return representatives.centroids(d, a).select("locus", "allele_id", "good")
+    a = _source_dna(spark, sf_dir)
+    d = representatives.near_distances(a).withColumn("distance", F.round("distance", 6).cast("decimal(18,6)"))
+    return representatives.centroids_of_near(d, a).select("locus", "allele_id", "good")
 
 
 @query
 def unrepresented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _short_dna(spark, sf_dir)
-    hit = representatives.word_distances(a).filter("distance < 0.1 AND id_1 < id_2").select("locus", F.col("id_2").alias("allele_id"))
+    a = _source_dna(spark, sf_dir)
+    hit = representatives.near_distances(a).filter("distance < 0.1 AND id_1 < id_2").select("locus", F.col("id_2").alias("allele_id"))
     return representatives.unrepresented(a, hit).select("locus", "allele_id")
 
 

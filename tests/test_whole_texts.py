@@ -1,4 +1,5 @@
 import glob
+import math
 import os
 import random
 
@@ -50,6 +51,34 @@ def test_letters_after_300_are_read(spark, folder, texts):
     assert {r.id: r.score for r in run("local_alignment")}[0] == max(len(seqs[0]) - 3, align(seqs[0], seqs[1]).score)
 
 
+def test_word_distances_of_all_of_a_source(spark, tmp_path):
+    rng = random.Random(9)
+    long = "".join(rng.choice("acgt") for _ in range(900))
+    texts = {0: long, 1: long, 2: long[:400] + "a" + long[400:], 4: long[600:] + "ggtt" * 20, 5: "".join(rng.choice("acgt") for _ in range(500)), 6: "ac", 999: long[:500], 1001: long}
+    source = {i: "x" if i < 1000 else "y" for i in texts}
+    spark.createDataFrame([(i, t, "en", source[i], len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def words(t):
+        t = t.upper()
+        return {min(w, w.translate(str.maketrans("ACGT", "TGCA"))[::-1]) for w in (t[i : i + 21] for i in range(len(t) - 20))}
+
+    def distance(i, j):
+        both = len(words(texts[i]) & words(texts[j]))
+        share = both / max(len(words(texts[i]) | words(texts[j])), 1)
+        return 0.0 if i == j else 1.0 if not both else max(0.0, -math.log(2 * share / (1 + share)) / 21)
+
+    run = lambda name: entry.queries()[name](spark, str(tmp_path)).collect()
+    want = {(source[i], str(i), str(j)): distance(i, j) for i in texts for j in texts if source[i] == source[j]}
+    got = {(r.locus, r.id_1, r.id_2): r.distance for r in run("kmer_distance")}
+    assert got == pytest.approx(want, abs=1e-6) and len(got) == 50
+    hit = {(s, j) for (s, i, j), d in want.items() if d < 0.1 and i < j}
+    assert {(r.locus, r.allele_id) for r in run("unrepresented")} == {(source[i], str(i)) for i in texts} - hit
+    mean = {i: round(sum(round(distance(i, j), 6) for j in texts if source[j] == "x") / 7, 10) for i in texts if source[i] == "x"}
+    good = {r.allele_id for r in entry.queries()["allele_quality"](spark, str(tmp_path)).selectExpr("cast(doc_id as string) allele_id", "quality").filter("quality = 'good_quality'").collect()}
+    best = min(mean, key=lambda i: (str(i) not in good, mean[i], -i))
+    assert {(r.locus, r.allele_id) for r in run("centroid")} == {("x", str(best)), ("y", "1001")}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql_without_its_cut(spark, name):
