@@ -1,9 +1,11 @@
 """Masked pseudo-likelihood by a bidirectional window network.
 
-A word is one of the commonest words of the corpus or falls into one of TAIL hashed classes; an
-edge class stands outside the text. From the SIDE words on either side of a place a network with one
-tanh layer predicts the word there; the sum of the log-probabilities of a text's words, each
-given both sides, is its score. Word counts cover all documents. Training passes over every word of
+The vocabulary is every word of the corpus. For the network a word is one of the commonest words or falls
+into one of TAIL hashed classes; an edge class stands outside the text. From the SIDE words on either side of a place a network with one
+tanh layer predicts the class there; the probability of a word of a hashed class is that of the class times the
+word's share of the class, counted over all documents. The sum of the log-probabilities of a text's
+words, each given both sides, is its score. Words met twice or more are broadcast with their
+counts (16 bytes a word); a word that is not among them counts as met once. Training passes over every word of
 the corpus once, in ROUNDS parts: each task trains its own copy in numpy, copies are averaged by
 the words they saw, in two shuffled steps, and the average starts the next round.
 
@@ -15,6 +17,7 @@ replaced. Equal counts of words are ordered by hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -52,15 +55,41 @@ def fresh(seed: int = 11) -> np.ndarray:
     return np.concatenate([rng.normal(0, 0.3, _SIZES[0]), np.zeros(_SIZES[1]), rng.normal(0, 0.1, _SIZES[2]), np.zeros(_SIZES[3])]).astype(np.float32)
 
 
+def tail(h: np.ndarray) -> np.ndarray:
+    """Hashed class, from 0, of each word hash."""
+    return (h >> np.uint64(40)).astype(np.int64) % TAIL
+
+
 def classes(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Class of each word hash; common: sorted hashes of the commonest words."""
-    out = 1 + COMMON + (h >> np.uint64(40)).astype(np.int64) % TAIL
+    out = 1 + COMMON + tail(h)
     if len(common):
         at = np.minimum(np.searchsorted(common, h), len(common) - 1)
         out = np.where(common[at] == h, 1 + at, out)
     return out
 
 
+@dataclass
+class Vocabulary:
+    """common: sorted hashes of the commonest words; words: sorted hashes of others, with counts; totals: words met in each hashed class."""
+
+    common: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+    totals: np.ndarray
+
+    def log_shares(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Logarithm of each word's share of its class: 0 for the commonest words."""
+        out, rare = np.zeros(len(h)), np.flatnonzero(ids > COMMON)
+        kinds, back = np.unique(h[rare], return_inverse=True)
+        n = np.ones(len(kinds))
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, kinds), len(self.words) - 1)
+            n = np.where(self.words[at] == kinds, self.counts[at], n)
+        out[rare] = np.log(n / np.maximum(self.totals[tail(kinds)], n))[back]
+        return out
+
+
 def windows(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     """(2 * SIDE, words): the neighbours of each word, farthest left first, the edge class beyond the text."""
     counts = np.diff(per_text)
@@ -134,8 +163,8 @@ def _texts(batch: pa.RecordBatch, text_col: str) -> Iterator[tuple[int, int, _te
         yield lo, hi, w, w.hashes()
 
 
-def common_words(docs: DataFrame, most: int = COMMON) -> np.ndarray:
-    """Sorted hashes of the `most` commonest words of all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): the hash of every word of all documents, and how often it occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -153,11 +182,39 @@ def common_words(docs: DataFrame, most: int = COMMON) -> np.ndarray:
                     words, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         yield batch()
 
-    counted = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(most).collect()
+    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def common_words(docs: DataFrame, most: int = COMMON) -> np.ndarray:
+    """Sorted hashes of the `most` commonest words of all documents."""
+    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(most).collect()
     return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
 
 
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """The vocabulary of all documents."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            word, n = b.column("word").to_numpy(), b.column("n").to_numpy()
+            totals = np.bincount(tail(word.view(np.uint64)), n, TAIL).astype(np.int64)
+            # of words met once only those that may be among the commonest
+            once = np.sort(word[n == 1])[:COMMON]
+            word, n = np.concatenate([word[n > 1], once]), np.concatenate([n[n > 1], np.ones(len(once), np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (word, n, totals)], names=["word", "n", "totals"])
+
+    packed = word_counts(docs).mapInArrow(pack, "word binary, n binary, totals binary").collect()
+    word, n = (np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r[c], np.int64) for r in packed]]) for c in ("word", "n"))
+    totals = sum((np.frombuffer(r.totals, np.int64) for r in packed), np.zeros(TAIL, np.int64))
+    order = np.lexsort((word, -n))
+    top, rest = order[:COMMON], order[COMMON:]
+    rest = rest[n[rest] > 1]
+    rest = rest[np.argsort(word.view(np.uint64)[rest])]
+    h = word.view(np.uint64)
+    totals = totals - np.bincount(tail(h[top]), n[top], TAIL).astype(np.int64)
+    return Vocabulary(np.sort(h[top]), h[rest], n[rest], totals)
+
+
 def train(docs: DataFrame, common: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """The network's weights after one pass over all documents."""
     sc = docs.sparkSession.sparkContext
@@ -192,17 +249,17 @@ def train(docs: DataFrame, common: np.ndarray, rounds: int = ROUNDS) -> np.ndarr
     return flat
 
 
-def score(docs: DataFrame, flat: np.ndarray, common: np.ndarray, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, flat: np.ndarray, known: Vocabulary, text_col: str = "text") -> DataFrame:
     """docs with n_words, log_likelihood (the sum) and mean_log_likelihood."""
-    model = docs.sparkSession.sparkContext.broadcast((flat, common))
+    model = docs.sparkSession.sparkContext.broadcast((flat, known))
     fields = [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType())]
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         weights, words = model.value
         n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
         for lo, hi, w, h in _texts(batch, text_col):
-            ids = classes(h, words)
-            logp = log_probabilities(weights, ids, windows(ids, w.per_text))
+            ids = classes(h, words.common)
+            logp = log_probabilities(weights, ids, windows(ids, w.per_text)) + words.log_shares(h, ids)
             n[lo:hi] = np.diff(w.per_text)
             total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), n[lo:hi]), logp, hi - lo)
         return [pa.array(n), pa.array(total), pa.array(np.where(n > 0, total / np.maximum(n, 1), np.nan), mask=n == 0)]
@@ -213,5 +270,5 @@ def score(docs: DataFrame, flat: np.ndarray, common: np.ndarray, text_col: str =
 def score_report(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_words, log_likelihood, mean_log_likelihood."""
     docs = docs.select("doc_id", "text")
-    common = common_words(docs)
-    return score(docs, train(docs, common), common).select("doc_id", "n_words", "log_likelihood", "mean_log_likelihood")
+    known = vocabulary(docs)
+    return score(docs, train(docs, known.common), known).select("doc_id", "n_words", "log_likelihood", "mean_log_likelihood")

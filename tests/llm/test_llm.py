@@ -353,6 +353,29 @@ def test_common_words_cover_all(spark):
     assert lm_scoring.common_words(df, 2).tolist() == sorted(w.hashes().tolist())
 
 
+def test_shares_of_rare_words(spark):
+    rng = random.Random(4)
+    kinds = [f"w{i}" for i in range(600)]
+    texts = [" ".join(kinds)] + [" ".join(w for w in kinds[:400] if rng.random() < 0.5) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = lm_scoring.vocabulary(df)
+    assert known.common.tolist() == lm_scoring.common_words(df).tolist()
+    seen = collections.Counter(" ".join(texts).split())
+    h = _text.words(*_text.strings(pa.array([" ".join(kinds)]))).hashes()
+    ids = lm_scoring.classes(h, known.common)
+    shares = np.exp(known.log_shares(h, ids))
+    assert (ids > lm_scoring.COMMON).sum() == 600 - lm_scoring.COMMON
+    for c in set(ids[ids > lm_scoring.COMMON].tolist()):
+        total = sum(seen[w] for w, i in zip(kinds, ids, strict=True) if i == c)
+        for w, i, x in zip(kinds, ids, shares, strict=True):
+            assert i != c or math.isclose(x, seen[w] / total)
+        assert math.isclose(shares[ids == c].sum(), 1)
+    flat = lm_scoring.train(df, known.common)
+    got = lm_scoring.score(df, flat, known).filter("doc_id = 0").first()
+    want = lm_scoring.log_probabilities(flat, ids, lm_scoring.windows(ids, np.array([0, 600]))) + np.log(shares)
+    assert math.isclose(got.log_likelihood, want.sum(), rel_tol=1e-5) and math.isclose(lm_scoring.score_report(df).filter("doc_id = 0").first().log_likelihood, want.sum(), rel_tol=0.2)
+
+
 def test_shards(spark, docs):
     got = sharding.shard_report(docs).collect()
     assert len(got) == docs.count()
