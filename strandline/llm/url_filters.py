@@ -2,8 +2,8 @@
 
 List entries are events (kind, pattern, action add or remove, at). They become validity intervals,
 and an as-of join holds every capture against the entries active when it was fetched: a capture is
-expanded to its lookup keys (its host and each parent domain, its URL and each prefix of its path up
-to DEPTH segments), which meet the intervals by equality of kind and pattern and by time. Only keys of
+expanded to its lookup keys (its host and each parent domain, its URL and each prefix of its path, up
+to as many segments as the longest listed prefix has), which meet the intervals by equality of kind and pattern and by time. Only keys of
 patterns that occur in the lists survive the join. A host may have a third of all captures: keys are
 salted by SALTS and the intervals, small beside the captures, are repeated for each salt.
 
@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DEPTH = 4
 SALTS = 16
 # The surrogate history of the query: days are counted from this date.
 FIRST_DAY = "2024-01-01"
@@ -38,14 +37,14 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def lookup_keys(url: Column, depth: int = DEPTH) -> Column:
-    """Array of (kind, pattern) under which a URL may be listed."""
+def lookup_keys(url: Column, depth: int | Column | None = None) -> Column:
+    """Array of (kind, pattern) under which a URL may be listed, with prefixes of depth segments at most (None: all)."""
     host, path = url_host(url), url_path(url)
     labels = F.split(host, r"\.")
     segments = F.filter(F.split(path, "/"), lambda x: x != "")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, n), ".").alias("pattern")))
-    most = F.least(F.size(segments), F.lit(depth))
+    most = F.size(segments) if depth is None else F.least(F.size(segments), F.lit(depth) if isinstance(depth, int) else depth)
     prefixes = F.transform(F.filter(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: i <= most), lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")).alias("pattern")))
     whole = F.array(F.struct(F.lit("url").alias("kind"), F.concat(host, path).alias("pattern")))
     return F.when(host == "", F.filter(whole, lambda x: F.lit(False))).otherwise(F.concat(domains, prefixes, whole))
@@ -61,17 +60,19 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return changes.withColumn("active_to", F.lead("at").over(w)).filter("on").select("kind", "pattern", F.col("at").alias("active_from"), "active_to")
 
 
-def matches(captures: DataFrame, entries: DataFrame, depth: int = DEPTH) -> DataFrame:
+def matches(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(capture_id, kind, pattern) for every entry active for a capture(capture_id, url, fetched_at)."""
-    keys = captures.select("capture_id", "fetched_at", F.explode(lookup_keys(F.col("url"), depth)).alias("k")).select("capture_id", "fetched_at", "k.*", F.pmod(F.xxhash64("capture_id", "fetched_at"), F.lit(SALTS)).alias("salt"))
+    slashes = F.length("pattern") - F.length(F.replace("pattern", F.lit("/"), F.lit("")))
+    deepest = entries.agg(F.coalesce(F.max(F.when(F.col("kind") == "prefix", slashes)), F.lit(0)).alias("deepest"))
+    keys = captures.crossJoin(F.broadcast(deepest)).select("capture_id", "fetched_at", F.explode(lookup_keys(F.col("url"), F.col("deepest"))).alias("k")).select("capture_id", "fetched_at", "k.*", F.pmod(F.xxhash64("capture_id", "fetched_at"), F.lit(SALTS)).alias("salt"))
     listed = validity_intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     met = keys.join(listed, ["kind", "pattern", "salt"]).filter((F.col("fetched_at") >= F.col("active_from")) & (F.col("active_to").isNull() | (F.col("fetched_at") < F.col("active_to"))))
     return met.select("capture_id", "kind", "pattern").distinct()
 
 
-def filter_captures(captures: DataFrame, entries: DataFrame, depth: int = DEPTH) -> DataFrame:
+def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """captures(capture_id, url, fetched_at) with n_active, matched (sorted 'kind:pattern' texts) and blocked."""
-    per = matches(captures, entries, depth).groupBy("capture_id").agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("matched"))
+    per = matches(captures, entries).groupBy("capture_id").agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("matched"))
     out = captures.join(per, "capture_id", "left")
     none = F.array().cast("array<string>")
     return out.withColumn("matched", F.coalesce("matched", none)).withColumn("n_active", F.size("matched").cast("long")).withColumn("blocked", F.size("matched") > 0)

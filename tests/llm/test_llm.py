@@ -418,6 +418,14 @@ def test_urls(spark):
     assert url_filters.filter_captures(empty(captures), entries).count() == 0
 
 
+def test_deep_prefixes(spark):
+    day = datetime.date(2024, 1, 1)
+    entries = spark.createDataFrame([("prefix", "h.org/a/b/c/d/e", "add", day), ("prefix", "h.org/1/2/3/4/5/6/7", "add", day)], "kind string, pattern string, action string, at date")
+    cases = {"http://h.org/a/b/c/d/e": 1, "http://h.org/a//b/c/d/e/f.html?q": 1, "http://h.org/a/b/c/d": 0, "http://h.org/a/b/c/d/ee": 0, "http://h.org/1/2/3/4/5/6/7/8/9": 1, "http://h.org/1/2/3/4/5/6": 0}
+    captures = spark.createDataFrame([(u, u, day) for u in cases], "capture_id string, url string, fetched_at date")
+    assert {r.url: r.n_active for r in url_filters.filter_captures(captures, entries).collect()} == cases
+
+
 def junk(i):
     return " ".join(w + RNG.choice(["***", "$$$", "%%%"]) for w in prose(60).split()) if i % 2 else prose(60).upper().replace(" ", "!! ")
 
