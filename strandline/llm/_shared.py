@@ -1,72 +1,68 @@
-"""Plumbing that the operators share: scratch folders, appended columns, partition counts."""
+"""Plumbing that the operators share: Arrow columns and filters, joins on keys that may be hot."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.storage import clear_scratch, durable, remove, scratch_dir, shared_folder, written  # noqa: F401
 
-def scratch_dir(spark: SparkSession, what: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, removed when the driver process ends.
+#: A key with more than one in HEAVY of all rows is heavy; there are fewer than HEAVY of them.
+HEAVY = 2048
 
-    Only where that setting is missing (tests, a laptop) a folder below java.io.tmpdir is set as
-    the checkpoint folder; on a cluster the shared folder that the session names is used.
-    """
-    path = f"{shared_folder(spark)}/strandline/{what}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
 
+def arrow_column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column, or a field of a struct column as in row.text."""
+    top, _, field = name.partition(".")
+    return batch.column(top).field(field) if field else batch.column(top)
 
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    tmp = spark.sparkContext._jvm.System.getProperty("java.io.tmpdir")
-    folder = f"file://{tmp}/strandline-checkpoints"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
 
+def append_columns(
+    df: DataFrame, fields: list[T.StructField], fn: Callable[[pa.RecordBatch], list[pa.Array]], keep: Iterable[str] | None = None
+) -> DataFrame:
+    """df with the columns that fn makes for each Arrow batch; same-named columns of df are replaced.
 
-def durable(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    With keep only those columns of df come back from Python.
+    """
+    new = {f.name.lower() for f in fields}
+    only = None if keep is None else {k.lower() for k in keep}
+    kept = [f for f in df.schema.fields if f.name.lower() not in new and (only is None or f.name.lower() in only)]
+    at = [i for i, f in enumerate(df.schema.fields) if f in kept]
+    names = [f.name for f in kept] + [f.name for f in fields]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in at], *fn(b)], names=names)
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session may be gone at exit; the folder then stays for its owner to clear
-        pass
+    return df.mapInArrow(run, T.StructType(kept + fields))
 
 
-def append_columns(
-    df: DataFrame, fields: list[T.StructField], fn: Callable[[pa.RecordBatch], list[pa.Array]]
-) -> DataFrame:
-    """df with the columns that fn makes for each Arrow batch; same-named columns of df are replaced."""
-    new = {f.name.lower() for f in fields}
-    keep = [f for f in df.schema.fields if f.name.lower() not in new]
-    names = [f.name for f in keep] + [f.name for f in fields]
+def keep_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """The rows of df for which fn, called on each Arrow batch, holds; the others do not leave Python."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = fn(b)
-            kept = [b.column(i) for i, n in enumerate(b.schema.names) if n.lower() not in new]
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
+            yield b.filter(fn(b))
+
+    return df.mapInArrow(run, df.schema)
 
-    return df.mapInArrow(run, T.StructType(keep + fields))
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
+    """rows joined with table, which has one row a key and in `size` the number of rows with that key.
+
+    Keys with more than one in HEAVY of all rows are joined by a broadcast of their fewer than
+    HEAVY table rows, so that no task gets all rows of a hot key; the others by a shuffle. table
+    should be a written one: it is read three times.
+    """
+    total = table.agg(F.sum(size)).first()[0] or 0
+    heavy = F.broadcast(table.filter(F.col(size) * HEAVY > F.lit(total)))
+    hot = rows.join(heavy, key)
+    rest = rows.join(heavy.select(key), key, "left_anti").join(table.filter(F.col(size) * HEAVY <= F.lit(total)), key, how)
+    return hot.unionByName(rest)
 
 
 def partitions_for(spark: SparkSession, least: int = 1) -> int:

@@ -1,26 +1,48 @@
-"""Token ids of a public byte-level BPE, loaded once in each worker process.
+"""Token ids by the tokenizers and sentencepiece libraries, loaded once in each worker process.
 
-ids() gives what the tokenizers library gives. Its merges are the ranks of the .tiktoken file of
-the same vocabulary, which a faster library encodes; that one is used for texts whose code points
-all lie below U+0250, where both libraries' character classes have long been settled, and the
-tokenizers library itself for every other text.
+A text is cut into units at places where no token can lie across, each different unit of a batch is
+encoded once by the library, and units met often stay known in the worker: a text's ids are its
+units' ids one after another. Places are taken only where the tokenizer's own rules make them safe:
+
+* a byte-level BPE with the usual pattern (no normaliser, no prefix space) ends a pre-token before
+  the first white space after other characters, and before the last white space of a run if
+  something follows. A single space is such a place unless white space stands on both its sides
+  (or it ends the text after other white space); a text with such a space stays whole;
+* between a CJK ideograph and a full-width mark, for a unit that is still very long;
+* a sentencepiece model whose pieces hold the space mark only in front is cut at single spaces
+  between words, if a probe gives equal ids.
+
+Any other tokenizer gets every text whole.
 """
 
 from __future__ import annotations
 
-import base64
 import functools
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+
+from strandline.llm import _text
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 DEFAULT = "byte_bpe_50k.json"
-
-#: Code points of text from which a text is cut before it is encoded.
+#: Bytes of text whose units are looked up, and new ones encoded, together.
+BATCH_BYTES = 1 << 19
+#: Code points from which a unit is cut further, and up to which it is remembered.
 PART = 1 << 16
+REMEMBERED = 48
+#: Units in each of the two generations that a worker process remembers.
+MOST_UNITS = 1 << 18
+
+#: A space that is no safe place: white space (or nothing) after it and white space before it.
+_UNSAFE = re.compile(r"\s (?=\s|\Z)")
+_CJK = re.compile("(?<=[一-鿿])(?=[、。！，：；？])")
+_WORDS = re.compile(r"(?<=\w) (?=\w)")
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -43,45 +65,90 @@ def sentencepiece(path: str):
     return SentencePieceProcessor(model_file=path)
 
 
-@functools.cache
-def _ranked(path: str):
-    """The same vocabulary in the faster library, or None where its files are not at hand."""
-    ranks_path = path.removesuffix(".json") + ".tiktoken"
-    if os.path.basename(path) != DEFAULT or not os.path.exists(ranks_path):
-        return None
-    import public_tokenizers
-    import tiktoken
+def cuttable(path: str) -> bool:
+    """Whether single spaces are safe places for this tokenizer."""
+    if path.endswith(".model"):
+        sp = sentencepiece(path)
+        inner = any("▁" in sp.id_to_piece(i)[1:].lstrip("▁") for i in range(sp.get_piece_size()))
+        return not inner and sp.encode("one two, three") == [*sp.encode("one"), *sp.encode("two, three")]
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    added = all(not (x["lstrip"] or x["rstrip"] or x["single_word"] or re.search(r"\s", x["content"])) for x in spec["added_tokens"])
+    return bool(plain and added and spec.get("normalizer") is None and spec.get("truncation") is None)
+
+
+class Encoder:
+    """Ids of texts as little-endian uint32 bytes."""
+
+    def __init__(self, path: str):
+        self.path, self.model = path, path.endswith(".model")
+        self.safe = cuttable(path)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        if self.model:
+            found = sentencepiece(self.path).encode(units, num_threads=1)
+        else:
+            found = [x.ids for x in tokenizer(self.path).encode_batch_fast(units, add_special_tokens=False)]
+        return [np.array(x, "<u4").tobytes() for x in found]
+
+    def units(self, text: str) -> list[str]:
+        """The units of a text; all but the first stand after a single space, which is left out."""
+        if not self.safe:
+            return [text]
+        if self.model:
+            return _WORDS.split(text) if len(text) > PART else [text]
+        return [text] if _UNSAFE.search(text) else text.split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; texts should be about BATCH_BYTES together."""
+        if len(self.known) > MOST_UNITS:  # units that are met again move to the new generation
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        lead = "" if self.model else " "
+        split = [self.units(t) for t in texts]
+        new = set().union(*[u[1:] for u in split]).difference(known)
+        again = new.intersection(older)
+        known.update((u, older[u]) for u in again)
+        new -= again
+        long_ = {u for u in new if len(u) > REMEMBERED}
+        short = list(new - long_)
+        known.update(zip(short, self._encode([lead + u for u in short]), strict=True))
+        here = {u: self._whole(lead + u) for u in long_}
+        heads = self._heads([u[0] for u in split])
+        find = known.__getitem__ if not here else lambda u: here[u] if u in here else known[u]
+        return [h + b"".join(map(find, u[1:])) for h, u in zip(heads, split, strict=True)]
+
+    def _heads(self, units: list[str]) -> list[bytes]:
+        """First units, which no space goes before, encoded in one call but for very long ones."""
+        out = self._encode([u if len(u) <= PART else "" for u in units])
+        return [self._whole(u) if len(u) > PART else x for u, x in zip(units, out, strict=True)]
+
+    def _whole(self, unit: str) -> bytes:
+        parts = _CJK.split(unit) if len(unit) > PART and self.safe and not self.model else [unit]
+        return b"".join(self._encode(parts))
 
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    special = {x.content: i for i, x in tokenizer(path).get_added_tokens_decoder().items()}
-    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
-def parts(text: str, size: int = PART) -> Iterator[str]:
-    """text in parts whose token ids, one after another, are the ids of the whole.
+def encoded(column: pa.Array, path: str, batch_bytes: int = BATCH_BYTES) -> Iterator[bytes]:
+    """Ids of each text of an Arrow column (null: empty) as uint32 bytes, without added special tokens.
 
-    A cut lies before a single space between two ASCII letters: the pre-tokenizer ends a token at
-    every such place. A text without such places stays whole.
+    Special strings in a text are special tokens, as is the library's default. Only about
+    batch_bytes of the column are Python strings at any time.
     """
-    lo, n = 0, len(text)
-    while n - lo > size:
-        at = text.find(" ", lo + size)
-        while at != -1 and not (text[at - 1].isascii() and text[at - 1].isalpha() and text[at + 1 : at + 2].isascii() and text[at + 1 : at + 2].isalpha()):
-            at = text.find(" ", at + 1)
-        if at == -1:
-            break
-        yield text[lo:at]
-        lo = at
-    yield text[lo:]
+    own = encoder(path)
+    _, offsets = _text.strings(column)
+    for lo, hi in _text.blocks(offsets, batch_bytes):
+        yield from own.encode([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
 
 
 def ids(text: str, path: str) -> np.ndarray:
-    """Token ids as uint32, without added special tokens; special strings in the text are special tokens."""
-    fast = _ranked(path)
-    if fast is not None and (text.isascii() or max(text) < "ɐ"):
-        out = [fast.encode_to_numpy(p, allowed_special="all") for p in parts(text)]
-    else:
-        slow = tokenizer(path)
-        out = [np.array(slow.encode(p, add_special_tokens=False).ids, np.uint32) for p in parts(text)]
-    return np.concatenate(out).astype(np.uint32, copy=False)
+    """Token ids of one text."""
+    return np.frombuffer(encoder(path).encode([text])[0], "<u4")

@@ -7,6 +7,8 @@ than OPEN_BINS are open the fullest one closes. A group is fed its pieces in see
 ROUND at a time by falling length: long pieces then meet the short ones that fill them up while
 their bins are open, and memory does not depend on the group.
 
+Ids come from the tokenizer's own library, unit by unit (see _tokens).
+
 Defined cases: a null or empty text is the end token alone; repeated rows are packed row by row;
 an empty table gives no pieces. Ties of the random order are broken by all columns of a piece.
 """
@@ -51,13 +53,15 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) -> DataFrame:
     """The pieces of every document (doc_id, text): doc_id, piece, start, length, ids_crc32."""
 
+    last = np.uint32(end).astype("<u4").tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: dict[str, list] = {f.name: [] for f in _PIECES}
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                own = np.append(_tokens.ids(text.as_py() or "", path), np.uint32(end)).astype("<u4")
-                for k, (start, n) in enumerate(cut(len(own), length)):
-                    row = (doc_id, k, start, n, zlib.crc32(own[start : start + n].tobytes()))
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), _tokens.encoded(b.column("text"), path), strict=True):
+                own = ids + last
+                for k, (start, n) in enumerate(cut(len(own) >> 2, length)):
+                    row = (doc_id, k, start, n, zlib.crc32(memoryview(own)[4 * start : 4 * (start + n)]))
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names=list(out))

@@ -1,69 +1,49 @@
 """Token counts: batches of about equal bytes are encoded in Arrow functions that return lengths only.
 
-Texts longer than a part are split at safe boundaries, so that one giant text is encoded in pieces
-and a batch never holds more than about BATCH_BYTES of text. Rows stay where the scan put them:
-nothing is shuffled.
+Texts are cut into units at safe places (see _tokens), so a giant text is encoded in pieces, and
+about _tokens.BATCH_BYTES of text are worked on at a time, however many rows an Arrow batch has.
+Python gives back lengths; texts are not sent back. Rows stay where the scan put them: nothing is
+shuffled.
 
-Defined cases: null and empty texts have 0 tokens; repeated rows are counted row by row; an empty
-table gives an empty result; columns named like result columns are replaced.
+Defined cases: null and empty texts have 0 tokens and 0 bytes; repeated rows are counted row by row;
+an empty table gives an empty result; columns named like result columns are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm import _tokens
+from strandline.llm import _text, _tokens
 from strandline.llm._shared import append_columns
 
-#: Bytes of text that the encoder gets in one call.
-BATCH_BYTES = 1 << 19
 LIMIT = 1024
 
 
-def _lengths(batch: list[str], path: str) -> list[int]:
-    if path.endswith(".model"):
-        return [len(x) for x in _tokens.sentencepiece(path).encode(batch, num_threads=1)]
-    return [len(x) for x in _tokens.tokenizer(path).encode_batch_fast(batch, add_special_tokens=False)]
-
-
-def count(texts: list[str | None], path: str, batch_bytes: int = BATCH_BYTES) -> np.ndarray:
+def count(texts: pa.Array | list[str | None], path: str, batch_bytes: int = _tokens.BATCH_BYTES) -> np.ndarray:
     """Tokens of each text."""
-    out = np.zeros(len(texts), np.int64)
-    batch: list[str] = []
-    rows: list[int] = []
-    held = 0
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    return np.array([len(x) >> 2 for x in _tokens.encoded(column, path, batch_bytes)], np.int64)
 
-    def flush() -> None:
-        nonlocal held
-        np.add.at(out, rows, _lengths(batch, path) if batch else [])
-        batch.clear()
-        rows.clear()
-        held = 0
 
-    for i, text in enumerate(texts):
-        for part in [] if not text else [text] if path.endswith(".model") else _tokens.parts(text):
-            batch.append(part)
-            rows.append(i)
-            held += len(part.encode())
-            if held >= batch_bytes:
-                flush()
-    flush()
-    return out
+def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int = LIMIT, keep: Iterable[str] | None = None) -> DataFrame:
+    """docs, or its columns in keep, with n_bytes, n_tokens and over_limit (n_tokens > limit)."""
+    fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
 
+    def lengths(batch: pa.RecordBatch) -> list[pa.Array]:
+        column = batch.column(text_col)
+        return [pa.array(np.diff(_text.strings(column)[1])), pa.array(count(column, path))]
 
-def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int = LIMIT) -> DataFrame:
-    """docs with n_bytes, n_tokens and over_limit (n_tokens > limit)."""
-    fields = [T.StructField("n_tokens", T.LongType())]
-    out = append_columns(docs, fields, lambda b: [pa.array(count(b.column(text_col).to_pylist(), path))])
-    n_bytes = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
-    return out.withColumn("n_bytes", n_bytes).withColumn("over_limit", F.col("n_tokens") > limit)
+    out = append_columns(docs, fields, lengths, keep)
+    return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def token_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per document row: doc_id, n_bytes, n_tokens, over_limit."""
-    out = count_tokens(docs.select("doc_id", "text"), path or _tokens.tokenizer_path())
+    out = count_tokens(docs.select("doc_id", "text"), path or _tokens.tokenizer_path(), keep=["doc_id"])
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
