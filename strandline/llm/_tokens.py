@@ -32,10 +32,12 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 DEFAULT = "byte_bpe_50k.json"
 #: Bytes of text whose units are looked up, and new ones encoded, together.
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 21
 #: Code points from which a unit is cut further, and up to which it is remembered.
 PART = 1 << 16
 REMEMBERED = 48
+#: Units that are encoded in one text.
+TOGETHER = 4096
 #: Units in each of the two generations that a worker process remembers.
 MOST_UNITS = 1 << 18
 
@@ -87,6 +89,10 @@ class Encoder:
         self.safe = cuttable(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        if self.safe and not self.model:
+            vocabulary = tokenizer(path).get_vocab()
+            self.leads = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.leads[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
 
     def _encode(self, units: list[str]) -> list[bytes]:
         if self.model:
@@ -95,6 +101,23 @@ class Encoder:
             found = [x.ids for x in tokenizer(self.path).encode_batch_fast(units, add_special_tokens=False)]
         return [np.array(x, "<u4").tobytes() for x in found]
 
+    def _encode_spaced(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(unit, its ids after a space), many in one call of the library.
+
+        Units without white space at their ends are encoded as one text: in its ids a token with a
+        space in front begins each unit, as no unit holds a space itself.
+        """
+        apart = [u for u in units if not u or u[0].isspace() or u[-1].isspace()]
+        yield from zip(apart, self._encode([" " + u for u in apart]), strict=True)
+        units = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
+        groups = [units[k : k + TOGETHER] for k in range(0, len(units), TOGETHER)]
+        for own, data in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
+            at = np.flatnonzero(self.leads[np.frombuffer(data, "<u4")])
+            if len(at) != len(own):
+                raise ValueError(f"{len(at)} of {len(own)} units found again in their ids")
+            at = (at * 4).tolist()
+            yield from zip(own, map(data.__getitem__, map(slice, at, [*at[1:], len(data)])), strict=True)
+
     def units(self, text: str) -> list[str]:
         """The units of a text; all but the first stand after a single space, which is left out."""
         if not self.safe:
@@ -108,16 +131,15 @@ class Encoder:
         if len(self.known) > MOST_UNITS:  # units that are met again move to the new generation
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        lead = "" if self.model else " "
         split = [self.units(t) for t in texts]
         new = set().union(*[u[1:] for u in split]).difference(known)
         again = new.intersection(older)
         known.update((u, older[u]) for u in again)
         new -= again
-        long_ = {u for u in new if len(u) > REMEMBERED}
-        short = list(new - long_)
-        known.update(zip(short, self._encode([lead + u for u in short]), strict=True))
-        here = {u: self._whole(lead + u) for u in long_}
+        lead = "" if self.model else " "
+        here = {u: self._whole(lead + u) for u in new if len(u) > REMEMBERED}
+        short = [u for u in new if len(u) <= REMEMBERED]
+        known.update(zip(short, self._encode(short), strict=True) if self.model else self._encode_spaced(short))
         heads = self._heads([u[0] for u in split])
         find = known.__getitem__ if not here else lambda u: here[u] if u in here else known[u]
         return [h + b"".join(map(find, u[1:])) for h, u in zip(heads, split, strict=True)]
