@@ -101,22 +101,25 @@ class Encoder:
             found = [x.ids for x in tokenizer(self.path).encode_batch_fast(units, add_special_tokens=False)]
         return [np.array(x, "<u4").tobytes() for x in found]
 
-    def _encode_spaced(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
-        """(unit, its ids after a space), many in one call of the library.
+    def _encode_spaced(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of each unit after a space, many in one call of the library.
 
         Units without white space at their ends are encoded as one text: in its ids a token with a
         space in front begins each unit, as no unit holds a space itself.
         """
-        apart = [u for u in units if not u or u[0].isspace() or u[-1].isspace()]
-        yield from zip(apart, self._encode([" " + u for u in apart]), strict=True)
-        units = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
+        odd = [u for u in units if not u or not u.isprintable()]
+        apart = [u for u in odd if not u or u[0].isspace() or u[-1].isspace()]
+        out = dict(zip(apart, self._encode([" " + u for u in apart]), strict=True))
+        if apart:
+            units = list(set(units).difference(apart))
         groups = [units[k : k + TOGETHER] for k in range(0, len(units), TOGETHER)]
         for own, data in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
             at = np.flatnonzero(self.leads[np.frombuffer(data, "<u4")])
             if len(at) != len(own):
                 raise ValueError(f"{len(at)} of {len(own)} units found again in their ids")
             at = (at * 4).tolist()
-            yield from zip(own, map(data.__getitem__, map(slice, at, [*at[1:], len(data)])), strict=True)
+            out.update(zip(own, [data[i:j] for i, j in zip(at, [*at[1:], len(data)], strict=True)], strict=True))
+        return out
 
     def units(self, text: str) -> list[str]:
         """The units of a text; all but the first stand after a single space, which is left out."""
@@ -137,12 +140,15 @@ class Encoder:
         known.update((u, older[u]) for u in again)
         new -= again
         lead = "" if self.model else " "
-        here = {u: self._whole(lead + u) for u in new if len(u) > REMEMBERED}
-        short = [u for u in new if len(u) <= REMEMBERED]
+        long_ = [u for u in new if len(u) > REMEMBERED]
+        short = list(new.difference(long_))
         known.update(zip(short, self._encode(short), strict=True) if self.model else self._encode_spaced(short))
+        known.update((u, self._whole(lead + u)) for u in long_)
         heads = self._heads([u[0] for u in split])
-        find = known.__getitem__ if not here else lambda u: here[u] if u in here else known[u]
-        return [h + b"".join(map(find, u[1:])) for h, u in zip(heads, split, strict=True)]
+        out = [h + b"".join(map(known.__getitem__, u[1:])) for h, u in zip(heads, split, strict=True)]
+        for u in long_:
+            del known[u]
+        return out
 
     def _heads(self, units: list[str]) -> list[bytes]:
         """First units, which no space goes before, encoded in one call but for very long ones."""
