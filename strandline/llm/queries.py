@@ -87,20 +87,20 @@ WITH p AS (
   SELECT page_id, url, regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)), '\.$', '') AS host,
          regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
          DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INTEGER) AS fetched FROM pages),
-s AS (SELECT *, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs FROM p WHERE host <> ''),
+s AS (SELECT DISTINCT url, fetched, host, path, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs FROM p WHERE host <> ''),
 k AS (
-  SELECT page_id, fetched, 'domain' AS kind, array_to_string(list_slice(labels, i, len(labels)), '.') AS pattern, 1 AS depth FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM s)
-  UNION ALL SELECT page_id, fetched, 'prefix', host || '/' || array_to_string(list_slice(segs, 1, i), '/'), i FROM (SELECT *, unnest(range(1, least(len(segs), 4) + 1)) AS i FROM s)
-  UNION ALL SELECT page_id, fetched, 'url', host || path, 1 FROM s),
-c AS (SELECT *, CAST('0x' || substr(md5(kind || ':' || pattern), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT kind, pattern FROM k WHERE kind <> 'url' AND depth = 1)),
-e AS (SELECT kind, pattern, c, DATE '2024-01-01' + CAST(c % 200 AS INTEGER) AS d FROM c WHERE CASE WHEN kind = 'domain' THEN c % 4 = 0 ELSE c % 5 = 0 END),
+  SELECT url, fetched, 'domain' AS kind, array_to_string(list_slice(labels, i, len(labels)), '.') AS pattern FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM s)
+  UNION ALL SELECT url, fetched, 'prefix', host || '/' || array_to_string(list_slice(segs, 1, i), '/') FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS i FROM s)
+  UNION ALL SELECT url, fetched, 'url', host || path FROM s),
+c AS (SELECT *, CAST('0x' || substr(md5(kind || ':' || pattern), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT kind, pattern FROM k)),
+e AS (SELECT kind, pattern, c, DATE '2024-01-01' + CAST(c % 200 AS INTEGER) AS d FROM c WHERE c % (CASE kind WHEN 'domain' THEN 4 WHEN 'prefix' THEN 5 ELSE 7 END) = 0),
 v AS (
   SELECT kind, pattern, d AS lo, CASE WHEN c % 3 <> 0 THEN d + 60 END AS hi FROM e
   UNION ALL SELECT kind, pattern, d + 120, NULL FROM e WHERE c % 3 = 1),
-m AS (SELECT DISTINCT k.page_id, k.kind || ':' || k.pattern AS x FROM k JOIN v ON k.kind = v.kind AND k.pattern = v.pattern AND k.fetched >= v.lo AND (v.hi IS NULL OR k.fetched < v.hi)),
-g AS (SELECT page_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS matched FROM m GROUP BY page_id)
+m AS (SELECT DISTINCT k.url, k.fetched, k.kind || ':' || k.pattern AS x FROM k JOIN v ON k.kind = v.kind AND k.pattern = v.pattern AND k.fetched >= v.lo AND (v.hi IS NULL OR k.fetched < v.hi)),
+g AS (SELECT url, fetched, count(*) AS n, string_agg(x, ',' ORDER BY x) AS matched FROM m GROUP BY url, fetched)
 SELECT p.page_id, p.host, CAST(p.fetched AS VARCHAR) AS fetched_on, CAST(coalesce(n, 0) AS BIGINT) AS n_active, coalesce(matched, '') AS matched, coalesce(n, 0) > 0 AS blocked
-FROM p LEFT JOIN g ON p.page_id = g.page_id
+FROM p LEFT JOIN g ON p.url = g.url AND p.fetched = g.fetched
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,11 +1,13 @@
 """URL filters: a temporal join of captures with dated lists.
 
 List entries are events (kind, pattern, action add or remove, at). They become validity intervals,
-and an as-of join holds every capture against the entries active when it was fetched: a capture is
-expanded to its lookup keys (its host and each parent domain, its URL and each prefix of its path, up
-to as many segments as the longest listed prefix has), which meet the intervals by equality of kind and pattern and by time. Only keys of
-patterns that occur in the lists survive the join. A host may have a third of all captures: keys are
-salted by SALTS and the intervals, small beside the captures, are repeated for each salt.
+and an as-of join holds every capture against the entries active when it was fetched. A capture (its
+URL and fetch time) is expanded to its lookup keys: its host and each parent domain, its URL and each
+prefix of its path, up to as many segments as the longest listed prefix has. Keys of patterns that
+occur in the lists survive; they and the intervals are sorted together by pattern and time, and each
+key takes the last interval that has begun by then: one pass, however often a pattern was
+listed. A host may have a third of all captures: patterns with more than one in HEAVY of the surviving
+keys (fewer than HEAVY) are dealt over SALTS parts, to each of which their intervals are copied.
 
 Kinds: domain (a host or any below it), prefix (host/path at a segment's end), url (the whole URL
 without scheme, query and fragment). Hosts are compared in lower case without port, user and
@@ -14,7 +16,9 @@ final dot.
 Defined cases: an interval holds its first instant and not its last; of events of one pattern at
 one instant a remove counts before an add, and equal events count once; an add while active and a
 remove while inactive change nothing; null fields make an entry void; a capture without a URL, host
-or time is matched by nothing and stays in the result; rows of one capture_id share their matches.
+or time is matched by nothing and stays in the result. Every capture row has its own verdict, by its
+own URL and time: repeated, null or missing capture_ids change nothing. Capture columns named
+n_active, matched or blocked are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -23,7 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SALTS = 16
+from strandline.llm._shared import HEAVY, durable
+
+SALTS = 64
 # The surrogate history of the query: days are counted from this date.
 FIRST_DAY = "2024-01-01"
 
@@ -60,22 +66,44 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return changes.withColumn("active_to", F.lead("at").over(w)).filter("on").select("kind", "pattern", F.col("at").alias("active_from"), "active_to")
 
 
-def matches(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """(capture_id, kind, pattern) for every entry active for a capture(capture_id, url, fetched_at)."""
+def deepest_prefix(entries: DataFrame) -> int:
+    """Segments of the longest listed prefix."""
     slashes = F.length("pattern") - F.length(F.replace("pattern", F.lit("/"), F.lit("")))
-    deepest = entries.agg(F.coalesce(F.max(F.when(F.col("kind") == "prefix", slashes)), F.lit(0)).alias("deepest"))
-    keys = captures.crossJoin(F.broadcast(deepest)).select("capture_id", "fetched_at", F.explode(lookup_keys(F.col("url"), F.col("deepest"))).alias("k")).select("capture_id", "fetched_at", "k.*", F.pmod(F.xxhash64("capture_id", "fetched_at"), F.lit(SALTS)).alias("salt"))
-    listed = validity_intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    met = keys.join(listed, ["kind", "pattern", "salt"]).filter((F.col("fetched_at") >= F.col("active_from")) & (F.col("active_to").isNull() | (F.col("fetched_at") < F.col("active_to"))))
-    return met.select("capture_id", "kind", "pattern").distinct()
+    return entries.filter("kind = 'prefix'").agg(F.max(slashes)).first()[0] or 0
+
+
+def matches(captures: DataFrame, entries: DataFrame) -> DataFrame:
+    """(url, fetched_at, kind, pattern) for every entry active for a distinct (url, fetched_at) of the captures."""
+    listed = durable(validity_intervals(entries), "intervals")
+    pages = captures.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
+    keys = pages.select("url", "fetched_at", F.explode(lookup_keys(F.col("url"), deepest_prefix(listed))).alias("k")).select("url", "fetched_at", "k.*")
+    keys = durable(keys.join(listed.select("kind", "pattern").distinct(), ["kind", "pattern"], "left_semi"), "keys")
+    total = keys.count()
+    counts = keys.groupBy("kind", "pattern").agg(F.count("*").alias("n"))
+    heavy = F.broadcast(counts.filter(F.col("n") * HEAVY > F.lit(total)).select("kind", "pattern", F.lit(SALTS).alias("salts")))  # fewer than HEAVY rows
+
+    def salted(df: DataFrame, salt: Column) -> DataFrame:
+        return df.join(heavy, ["kind", "pattern"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", salt).drop("salts")
+
+    never = F.lit(None).cast(listed.schema["active_from"].dataType)
+    of_keys = salted(keys, F.pmod(F.xxhash64("url", "fetched_at"), F.col("salts")).cast("int"))
+    of_lists = salted(listed, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    begun = F.struct("active_from", "active_to")
+    both = of_keys.select("kind", "pattern", "salt", F.col("fetched_at").alias("at"), F.lit(1).alias("after"), "url", "fetched_at", F.when(F.lit(False), F.struct(never.alias("active_from"), never.alias("active_to"))).alias("interval"))
+    both = both.unionByName(of_lists.select("kind", "pattern", "salt", F.col("active_from").alias("at"), F.lit(0).alias("after"), F.lit(None).cast("string").alias("url"), F.lit(None).cast(captures.schema["fetched_at"].dataType).alias("fetched_at"), begun.alias("interval")))
+    w = Window.partitionBy("kind", "pattern", "salt").orderBy("at", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("last", F.last("interval", ignorenulls=True).over(w)).filter("after = 1")
+    active = F.col("last").isNotNull() & (F.col("last.active_to").isNull() | (F.col("fetched_at") < F.col("last.active_to")))
+    return found.filter(active).select("url", "fetched_at", "kind", "pattern")
 
 
 def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """captures(capture_id, url, fetched_at) with n_active, matched (sorted 'kind:pattern' texts) and blocked."""
-    per = matches(captures, entries).groupBy("capture_id").agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("matched"))
-    out = captures.join(per, "capture_id", "left")
-    none = F.array().cast("array<string>")
-    return out.withColumn("matched", F.coalesce("matched", none)).withColumn("n_active", F.size("matched").cast("long")).withColumn("blocked", F.size("matched") > 0)
+    """captures(url, fetched_at, ...) with n_active, matched (sorted 'kind:pattern' texts) and blocked."""
+    per = matches(captures, entries).groupBy("url", "fetched_at").agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("found"))
+    kept = [c for c in captures.columns if c.lower() not in ("n_active", "matched", "blocked")]
+    rows = captures.select(F.struct(*[f"`{c}`" for c in kept]).alias("row"), "url", "fetched_at").join(per, ["url", "fetched_at"], "left")
+    matched = F.coalesce("found", F.array().cast("array<string>"))
+    return rows.select("row.*", F.size(matched).cast("long").alias("n_active"), matched.alias("matched"), (F.size(matched) > 0).alias("blocked"))
 
 
 def _code(text: Column) -> Column:
@@ -88,14 +116,15 @@ def _day(n: Column) -> Column:
 
 
 def surrogate_entries(pages: DataFrame) -> DataFrame:
-    """Dated entries made from the hosts and first path segments of pages, which come without lists.
+    """Dated entries made from the hosts, path prefixes of every depth and URLs of pages, which come without lists.
 
-    By a hash of the pattern: a quarter of the domains and a fifth of the prefixes are listed on some
-    day, some are removed again, and some of those return.
+    By a hash of the pattern: a quarter of the domains, a fifth of the prefixes and a seventh of the
+    URLs are listed on some day, some are removed again, and some of those return.
     """
-    keys = pages.select(F.explode(lookup_keys(F.col("url"), 1)).alias("k")).select("k.*").filter("kind <> 'url'").distinct()
+    keys = pages.select(F.explode(lookup_keys(F.col("url"))).alias("k")).select("k.*").distinct()
     c = _code(F.concat_ws(":", "kind", "pattern"))
-    keys = keys.withColumn("c", c).filter(F.when(F.col("kind") == "domain", F.col("c") % 4 == 0).otherwise(F.col("c") % 5 == 0))
+    share = F.when(F.col("kind") == "domain", 4).when(F.col("kind") == "prefix", 5).otherwise(7)
+    keys = keys.withColumn("c", c).filter(F.col("c") % share == 0)
     first = F.col("c") % 200
     event = lambda action, day, on: F.when(on, F.struct(F.lit(action).alias("action"), _day(day).alias("at")))
     events = F.array(event("add", first, F.lit(True)), event("remove", first + 60, F.col("c") % 3 != 0), event("add", first + 120, F.col("c") % 3 == 1))
@@ -107,7 +136,6 @@ def url_report(pages: DataFrame) -> DataFrame:
 
     Pages come without fetch times: a page is taken as fetched on day (37 * page_id) mod 366.
     """
-    rows = pages.select("page_id", "url").withColumn("fetched_at", _day(F.pmod(F.col("page_id") * 37, F.lit(366))))
-    captures = rows.withColumn("capture_id", F.col("page_id")).select("capture_id", "url", "fetched_at")
+    captures = pages.select("page_id", "url").withColumn("fetched_at", _day(F.pmod(F.col("page_id") * 37, F.lit(366))))
     out = filter_captures(captures, surrogate_entries(pages.select("url")))
-    return out.select(F.col("capture_id").alias("page_id"), url_host(F.col("url")).alias("host"), F.col("fetched_at").cast("string").alias("fetched_on"), "n_active", F.array_join("matched", ",").alias("matched"), "blocked")
+    return out.select("page_id", url_host(F.col("url")).alias("host"), F.col("fetched_at").cast("string").alias("fetched_on"), "n_active", F.array_join("matched", ",").alias("matched"), "blocked")
