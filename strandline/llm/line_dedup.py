@@ -90,7 +90,7 @@ class SortedTables:
             b = b.withColumnRenamed(self.value, "other").hint("merge")
             return a.join(b, _KEY, "full").select(*_KEY, self.total.alias(self.value))
 
-        return reduce(two, [self.spark.table(x) for x in names])
+        return reduce(two, [self.spark.table(x).select(*_KEY, self.value) for x in names])
 
     def _drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")

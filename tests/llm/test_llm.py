@@ -138,6 +138,35 @@ def test_line_runs_compact(spark, tmp_path):
     runs.drop()
 
 
+def test_long_and_odd_lines(spark):
+    """Very many lines, lines of a document more than once, null and repeated ids: against brute force by rows."""
+    many = [f"line number {i % 700} of the document" for i in range(20_000)]
+    rows = [(1, "\n".join(many)), (2, "\n".join(many[:900])), (3, "\n".join(reversed(many))), (4, "\n".join([LINE, LINE, "own"])), (5, LINE), (6, LINE + "\n"), (None, LINE), (6, "x\n" + LINE), (7, None), (8, "y" * 300_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.row.doc_id if r.row.doc_id is not None else -1, r.row.text or "", r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(df).collect())
+    want = []
+    for i, (d, t) in enumerate(rows):
+        own = brute_lines([(-1 if d is None else d + i / 100, t) for i, (d, t) in enumerate(rows)])[-1 if d is None else d + i / 100]
+        if d == 6:  # both rows have the largest id of the line
+            own = (len(t.split("\n")), 0, t)
+        want.append((-1 if d is None else d, t or "", *own))
+    assert got == sorted(want)
+
+
+def test_the_anti_join_decides(spark, tmp_path):
+    """A key is in one run only, that of the first batch to hold it, whatever later batches say."""
+    runs = line_dedup.LineRuns(spark, f"file://{tmp_path}", 2)
+    batch = lambda rows: spark.createDataFrame(rows, "h1 long, h2 long, n_docs long, keeper long")
+    runs.add(batch([(1, 1, 2, 50), (2, 2, 1, 40)]))
+    runs.add(batch([(1, 1, 1, 99), (3, 3, 1, 98)]))
+    runs.add(batch([(3, 3, 4, 1), (2, 2, 1, 100)]))
+    held = [r.h1 for name in runs.runs.names for r in spark.table(name).collect()]
+    assert sorted(held) == [1, 2, 3]
+    assert {r.h1: (r.n_docs, r.keeper) for r in runs.merged().collect()} == {1: (3, 50), 2: (2, 40), 3: (5, 98)}
+    runs.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lines_")]
+
+
 def test_packing(docs):
     path = _tokens.tokenizer_path()
     got = packing.packing_report(docs).collect()
@@ -180,13 +209,35 @@ def test_tokens(docs):
     assert got == want
     for text in [TEXTS[11], "a b " * 900, "x" * 999, "it's 12 a  b\n c<|endoftext|> d e"]:
         ids = t.encode(text, add_special_tokens=False).ids
-        assert [i for p in _tokens.parts(text, 40) for i in t.encode(p, add_special_tokens=False).ids] == ids
         assert _tokens.ids(text, path).tolist() == ids
     assert token_counts.token_report(empty(docs)).count() == 0
+    assert token_counts.token_report(docs).columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert token_counts.count_tokens(docs, path).count() == docs.count()
     model = _tokens.tokenizer_path("piece_bpe_32k.model")
     assert token_counts.count(["a b", None], model).tolist() == [len(_tokens.sentencepiece(model).encode("a b")), 0]
 
 
+def test_units_have_the_ids_of_whole_texts(monkeypatch):
+    """White space of every kind, marks, contractions, special strings and long texts without spaces, against the libraries."""
+    path, model = _tokens.tokenizer_path(), _tokens.tokenizer_path("piece_bpe_32k.model")
+    t, sp = _tokens.tokenizer(path), _tokens.sentencepiece(model)
+    letters = [" "] * 6 + ["  ", "\n", "\t", "\r", "\xa0", "　", "\x0b", "\x1c", "\x85", "\u2028", "́", "‍"] + list("abcZé日本。，عж1２٣!.,'-_<|>▁") + ["'s", "'ll", "<|endoftext|>", "word", "👍"]
+    texts = ["".join(RNG.choice(letters) for _ in range(RNG.randint(0, 14))) for _ in range(4000)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [_tokens.ids(x, path).tolist() for x in texts] == want
+    assert [len(x) >> 2 for x in _tokens.encoded(pa.array(texts), path, 100)] == [len(x) for x in want]
+    monkeypatch.setattr(_tokens, "PART", 5)
+    monkeypatch.setattr(_tokens, "MOST_UNITS", 40)
+    own = _tokens.Encoder(path)
+    for k in range(0, len(texts), 50):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts[k : k + 50])] == want[k : k + 50]
+    long_ = "日本、語。語！" * 50
+    assert np.frombuffer(own.encode([long_])[0], "<u4").tolist() == t.encode(long_, add_special_tokens=False).ids
+    assert [np.frombuffer(x, "<u4").tolist() for x in _tokens.Encoder(model).encode(texts)] == sp.encode(texts)
+    other = _tokens.tokenizer_path("word_bpe_49k.json")
+    assert not _tokens.cuttable(other) and _tokens.ids("Two Words", other).tolist() == _tokens.tokenizer(other).encode("Two Words", add_special_tokens=False).ids
+
+
 def ordered_similarity(a, b):
     def labelled(w):
         n = min(len(w), 5)
@@ -308,6 +359,23 @@ def test_fingerprints_take_64_samples(spark):
         assert r.near_next * 64 == int(r.near_next * 64)
 
 
+def test_fingerprints_are_exact_where_values_are_left_out(spark):
+    """With a far bound of 1 a third of the positions has no value in the first pass."""
+    df = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string")
+    reports = [sorted(map(tuple, fingerprints.fingerprint_report(df, samples=16, partition_bytes=9000, far=far).collect())) for far in (1, None)]
+    assert reports[0] == reports[1] and len(reports[0]) == len(TEXTS)
+
+
+def test_ranges_are_cut_further(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "CELLS", 4)
+    df = spark.range(400).select(F.when(F.col("id") < 150, 7).otherwise(F.col("id") * F.col("id")).alias("doc_id"), F.format_string("text %s of it", "id").alias("text"))
+    ranged, n = fingerprints._ranged(df, 300)
+    rows = ranged.orderBy("doc_id", "tie").collect()
+    assert n > 16 and [r.range for r in rows] == sorted(r.range for r in rows) and len({r.range for r in rows}) > 12 and max(r.range for r in rows) < n
+    assert len({r.range for r in rows if r.doc_id == 7}) > 2
+    assert fingerprints.fingerprint_report(df, samples=4, partition_bytes=300).count() == 400
+
+
 def test_fingerprints_of_hard_tables(spark, docs):
     hot = docs.select("doc_id", "text").unionByName(spark.range(60).select(F.lit(3).cast("long").alias("doc_id"), F.lit("same text " * 50).alias("text")))
     out = fingerprints.fingerprint_report(hot, samples=8, partition_bytes=1000)
@@ -426,6 +494,48 @@ def test_deep_prefixes(spark):
     assert {r.url: r.n_active for r in url_filters.filter_captures(captures, entries).collect()} == cases
 
 
+def test_captures_of_their_own_time(spark):
+    """One id at two times, null ids, flapping lists and columns named like those of the operator."""
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
+    entries = spark.createDataFrame([("domain", "b.org", a, day(n)) for n in range(0, 200, 2) for a, n in (("add", n), ("remove", n + 1))], "kind string, pattern string, action string, at date")
+    rows = [(i % 3 if i % 4 else None, f"http://{h}.org/z{'/d' * (i % 9)}", day(i), "mine", i, "m") for i in range(40) for h in "ab"]
+    captures = spark.createDataFrame(rows + rows[:5], "capture_id long, url string, fetched_at date, kind string, salt int, matched string")
+    got = url_filters.filter_captures(captures, entries)
+    assert got.columns == ["capture_id", "url", "fetched_at", "kind", "salt", "n_active", "matched", "blocked"]
+    found = got.collect()
+    assert len(found) == 85 and all(r.blocked == (r.url.startswith("http://b.org") and r.salt % 2 == 0) for r in found)
+
+
+def test_hot_pattern(spark):
+    day = datetime.date(2024, 1, 1)
+    entries = spark.createDataFrame([("domain", "hot.org", "add", day), ("prefix", "hot.org/1", "add", day), ("url", "hot.org/7/7", "add", day)], "kind string, pattern string, action string, at date")
+    captures = spark.range(3000).select(F.col("id").alias("capture_id"), F.concat(F.lit("http://www.hot.org/"), F.col("id")).alias("url"), F.lit(day).alias("fetched_at"))
+    captures = captures.union(spark.createDataFrame([(1, "http://hot.org/1/2", day), (2, "http://hot.org/7/7?q", day), (3, "http://x.org/" + "a/" * 20_000, day)], captures.schema))
+    got = url_filters.filter_captures(captures, entries).collect()
+    assert len(got) == 3003 and sum(r.n_active for r in got) == 3000 + 2 + 2
+
+
+def test_clashing_columns_of_shards(spark):
+    df = spark.createDataFrame([(i, f"t{i}", 5, "own", i) for i in range(50)], "doc_id long, text string, deal int, task string, bucket long")
+    folder = sharding.scratch_dir(spark, "test")
+    sharding.write_shards(df, folder, n_shards=3, bucket_bytes=20)
+    back = sharding.read_shards(spark, folder, df)
+    assert back.columns == ["doc_id", "text", "deal", "task", "bucket", "place", "shard"] and back.filter("deal = 5 AND task = 'own'").count() == 50
+
+
+def test_leaks_in_long_texts(spark):
+    """An item longer than a segment, one that repeats itself, a text over several kernel blocks."""
+    words_ = [f"w{i}" for i in range(40_000)]
+    long_ = " ".join(words_)
+    bench = spark.createDataFrame([(1, long_), (2, "again and " * 3000), (3, PASSAGE)], "item_id long, text string")
+    rows = [(1, " ".join(words_[20_000:20_012])), (2, "x " * 700_000 + PASSAGE + " y" * 300), (3, "and again and again and again and again and again"), (4, long_), (5, prose(50))]
+    df = spark.createDataFrame([(i, t, 3, "x") for i, t in rows], "doc_id long, text string, n_words int, hit_items string")
+    for most in (decontamination.MOST_BYTES, 300_000):
+        got = {r.doc_id: r for r in decontamination.find_leaks(df, bench, most_bytes=most).collect()}
+        assert {d: [(s.first, s.last) for s in r.hit_spans] for d, r in got.items()} == {1: [(0, 11)], 2: [(700_000, 700_013)], 3: [(0, 9)], 4: [(0, 39_999)], 5: []}
+        assert {d: r.hit_items for d, r in got.items()} == {1: ["1"], 2: ["3"], 3: ["2"], 4: ["1"], 5: []} and got[4].n_words == 40_000
+
+
 def junk(i):
     return " ".join(w + RNG.choice(["***", "$$$", "%%%"]) for w in prose(60).split()) if i % 2 else prose(60).upper().replace(" ", "!! ")
 
