@@ -238,24 +238,15 @@ def test_units_have_the_ids_of_whole_texts(monkeypatch):
     assert not _tokens.cuttable(other) and _tokens.ids("Two Words", other).tolist() == _tokens.tokenizer(other).encode("Two Words", add_special_tokens=False).ids
 
 
-def ordered_similarity(a, b):
-    def labelled(w):
-        n = min(len(w), 5)
-        grams = [tuple(w[i : i + n]) for i in range(len(w) - n + 1)] if n else []
-        seen = collections.Counter()
-        out = []
-        for g in grams:
-            out.append((g, seen[g]))
-            seen[g] += 1
-        return out
-
-    x, y = labelled(a), labelled(b)
-    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x)):
-        for j in range(len(y)):
-            table[i + 1][j + 1] = table[i][j] + 1 if x[i] == y[j] else max(table[i][j + 1], table[i + 1][j])
-    common = table[-1][-1]
-    return common / (len(x) + len(y) - common) if x or y else float(a == b)
+def word_similarity(a, b):
+    """1 - edit distance / length of the longer, by the whole table."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return 1 - row[-1] / max(len(a), len(b)) if a or b else 1.0
 
 
 def brute_groups(rows, same):
@@ -292,7 +283,7 @@ def test_near_groups(spark, block):
 
     def same(x, y):
         a, b = words(x), words(y)
-        return ordered_similarity(a, b) >= 0.8 if a and b else not a and not b and (x or "") == (y or "")
+        return word_similarity(a, b) >= 0.8 - 1e-9 if a and b else not a and not b and (x or "") == (y or "")
 
     want = brute_groups(rows, same)
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -314,18 +305,32 @@ def test_near_report(docs):
     assert near_dedup.near_report(empty(docs)).count() == 0
 
 
-def test_aligned_matches_the_table():
-    for _ in range(200):
-        a = [RNG.choice("abcd") for _ in range(RNG.randint(1, 30))]
-        b = [x for x in a if RNG.random() > 0.05] or ["a"]
-        if RNG.random() < 0.3:
-            k = RNG.randrange(len(b))
-            b = b[k:] + b[:k]
-        texts = [" ".join(a), " ".join(b)]
-        w = _text.words(*_text.strings(pa.array(texts)))
-        s, at = near_dedup.shingles(w.hashes(), w.per_text)
-        got, want = near_dedup.aligned(s[at[0] : at[1]], s[at[1] : at[2]]), ordered_similarity(a, b)
-        assert (got >= 0.8) == (want >= 0.8) and (want < 0.8 or math.isclose(got, want))
+def test_distances_match_the_table():
+    """Edited, rotated, repeated and unrelated sequences, at every bound."""
+    for k in range(400):
+        a = [RNG.randint(0, 3 if k % 3 else 60) for _ in range(RNG.randint(1, 40))]
+        b = [x if RNG.random() > 0.08 else RNG.randint(0, 60) for x in a if RNG.random() > 0.05] or [1]
+        if k % 4 == 0:
+            c = RNG.randrange(len(b))
+            b = b[c:] + b[:c]
+        x, y = np.array(a, "<u4"), np.array(b, "<u4")
+        d = round((1 - word_similarity(a, b)) * max(len(a), len(b)))
+        assert [near_dedup.distance_within(x, y, m) for m in range(0, 45)] == [m >= d for m in range(0, 45)]
+        assert min(len(a), len(b)) < near_dedup.ANCHOR or near_dedup._anchored(x, y) >= d
+        assert all(min(near_dedup._banded(x, y, m), m + 1) == min(d, m + 1) for m in (1, 4, 9, 45) if abs(len(a) - len(b)) <= m)
+
+
+def test_prefixes_of_similar_texts_meet():
+    for _ in range(300):
+        a = [RNG.randint(0, 200) for _ in range(RNG.randint(5, 60))]
+        b = list(a)
+        for _ in range(near_dedup.edits(len(a), len(a), 0.8)):
+            b[RNG.randrange(len(b))] = RNG.randint(0, 200)
+        _, s, at = near_dedup.labelled([np.array(v, "<u4").tobytes() for v in (a, b)])
+        n = np.diff(at)
+        text = np.repeat([0, 1], n)
+        first = near_dedup.prefixes(text, np.array([hash((int(x), 5)) % 9 for x in s]), s, n, 0.8)
+        assert set(s[first & (text == 0)].tolist()) & set(s[first & (text == 1)].tolist())
 
 
 def test_components(spark):
