@@ -1,17 +1,30 @@
 """Masked pseudo-likelihood by a bidirectional window network.
 
-The vocabulary is every word of the corpus. For the network a word is one of the commonest words or falls
-into one of TAIL hashed classes; an edge class stands outside the text. From the SIDE words on either side of a place a network with one
-tanh layer predicts the class there; the probability of a word of a hashed class is that of the class times the
-word's share of the class, counted over all documents. The sum of the log-probabilities of a text's
-words, each given both sides, is its score. Words met twice or more are broadcast with their
-counts (16 bytes a word); a word that is not among them counts as met once. Training passes over every word of
-the corpus once, in ROUNDS parts: each task trains its own copy in numpy, copies are averaged by
-the words they saw, in two shuffled steps, and the average starts the next round.
+Every word of every text is predicted from both its sides; the sum of the log-probabilities is the
+text's score. The network has two parts.
+
+The dense part is trained in numpy. Its inputs are the SIDE words on either side, one embedding a word
+scaled by place, then a tanh layer. Its outputs are a group of words and, within the group, a word:
+VOCABULARY words at most, the commonest by counts over all documents, in groups of WIDTH, and one more
+group for all other words, which are spelled by a byte-pair table gathered from them. So every word,
+known or not, has a probability. Training passes over every word of the corpus once, in ROUNDS parts:
+each task trains its own copy, copies are averaged by the words they saw in a tree of FAN, and the
+average starts the next round.
+
+The sparse part has a unit for every pair of neighbouring words (left, right) of the corpus, with the
+words seen between them and their counts. As the predicted word is masked, its own occurrence is
+taken from the counts. With m other occurrences of the pair, t kinds of words among them and c of them
+the word itself, its probability is (c + t p) / (m + t), p that of the dense part; a pair not met elsewhere
+leaves p. A pair of two frequent words (each more than one in FREQUENT of all words, or a text's end) has no
+unit, the dense part knows these well: a unit thus holds at most one in FREQUENT of all words.
+
+Units are far too many to broadcast. Each task sends its words to shards of about SHARD_TOKENS, by a hash
+of the pair, as packed arrays (14 bytes a word, keys of 44 bits for the pair within its shard and 20 for the word); a
+shard counts, and returns what its words gain, summed by text, where that is not nothing.
 
 Defined cases: null and empty texts have 0 words, score 0 and no mean; repeated rows are trained on
-and scored row by row; an empty table gives an empty result; columns named like result columns are
-replaced. Equal counts of words are ordered by hash.
+and scored row by row; an empty table gives an empty result; columns other than doc_id and text are left
+out. Equal counts of words are ordered by hash.
 """
 
 from __future__ import annotations
@@ -21,77 +34,170 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.llm import _text
-from strandline.llm._shared import append_columns
+from strandline.llm._shared import durable, partitions_for
 
-#: Classes: the edge, the commonest words, hashed classes for the others.
-COMMON = 191
-TAIL = 64
-CLASSES = 1 + COMMON + TAIL
+VOCABULARY = 20_480
+#: The classes that the dense part knows: the edge of a text, all other words, and the vocabulary.
+CLASSES = VOCABULARY + 2
+WIDTH = 144
+FREQUENT = 4096
 SIDE = 2
 HIDDEN = 16
 ROUNDS = 2
-BATCH = 4096
-RATE = 0.01
+BATCH = 16_384
+RATE = 0.05
+FAN = 16
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1 << 20
+#: Words that a scoring task packs together, and that a shard has, about.
+CHUNK_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 21
 
-_SHAPES = [(2 * SIDE, CLASSES, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
-_SIZES = [int(np.prod(s)) for s in _SHAPES]
+_EDGE = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = 257
+_WORD_BITS = np.uint64(20)
+_MEMBER = [("n", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64()))]
 
 
-def split(flat: np.ndarray) -> list[np.ndarray]:
-    """The network's embeddings by place, hidden bias, output weights and output bias as views of one vector."""
-    at = np.concatenate([[0], np.cumsum(_SIZES)])
-    return [flat[a:b].reshape(s) for a, b, s in zip(at[:-1], at[1:], _SHAPES, strict=True)]
+@dataclass
+class Vocabulary:
+    """hashes: sorted word hashes; classes: the class of each, 2 and up by falling count; counts: by class; total: words of the corpus; width: words of a group."""
 
+    hashes: np.ndarray
+    classes: np.ndarray
+    counts: np.ndarray
+    total: int
+    width: int = WIDTH
+
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        """Class of each word hash; 1 for words outside the vocabulary."""
+        out = np.ones(len(h), np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            out = np.where(self.hashes[at] == h, self.classes[at], out)
+        return out
 
-def fresh(seed: int = 11) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    return np.concatenate([rng.normal(0, 0.3, _SIZES[0]), np.zeros(_SIZES[1]), rng.normal(0, 0.1, _SIZES[2]), np.zeros(_SIZES[3])]).astype(np.float32)
 
+class Network:
+    """The dense part: views of one vector of weights."""
+
+    def __init__(self, flat: np.ndarray, words: int, width: int = WIDTH):
+        self.flat, self.words, self.width = flat, words, width
+        self.groups = -(-words // width) + 1
+        shapes = [(words + 2, HIDDEN), (2 * SIDE, HIDDEN), (HIDDEN,), (HIDDEN, self.groups), (self.groups,), (words, HIDDEN), (words,)]
+        at = np.concatenate([[0], np.cumsum([int(np.prod(s)) for s in shapes])])
+        self.embed, self.scale, self.bias, self.group, self.group_bias, self.word, self.word_bias = (flat[a:b].reshape(s) for a, b, s in zip(at[:-1], at[1:], shapes, strict=True))
+        self.size = int(at[-1])
+
+    @staticmethod
+    def fresh(known: Vocabulary, seed: int = 11) -> Network:
+        """Small random weights; biases that give each word its share of the corpus."""
+        words = len(known.counts)
+        sizes = [(words + 2 + 2 * SIDE + 1) * HIDDEN, (-(-words // known.width) + 1) * (HIDDEN + 1), words * (HIDDEN + 1)]
+        net = Network(np.zeros(sum(sizes), np.float32), words, known.width)
+        rng = np.random.default_rng(seed)
+        for w, spread in ((net.embed, 0.3), (net.group, 0.05), (net.word, 0.05)):
+            w[:] = rng.normal(0, spread, w.shape)
+        net.scale[:] = 1
+        net.word_bias[:] = np.log(known.counts)
+        mass = np.bincount(np.arange(words) // known.width, known.counts, net.groups)
+        mass[-1] = known.total - mass.sum()
+        net.group_bias[:] = np.log(np.maximum(mass, 0.5) / max(known.total, 1))
+        return net
+
+    def group_of(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids > 1, (ids - 2) // self.width, self.groups - 1)
+
+    def forward(self, ids: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[slice, slice, np.ndarray]]]:
+        """(hidden layer, group probabilities, and for each group of words its rows, its words and their probabilities); ids sorted by group."""
+        inner = self.bias + self.embed[context[0]] * self.scale[0]
+        for k in range(1, 2 * SIDE):
+            inner += self.embed[context[k]] * self.scale[k]
+        hidden = np.tanh(inner, out=inner)
+        groups = self.group_of(ids)
+        at = np.searchsorted(groups, np.arange(self.groups))
+
+        def within() -> Iterator[tuple[slice, slice, np.ndarray]]:
+            for g in range(self.groups - 1):
+                if at[g] < at[g + 1]:
+                    rows, words = slice(at[g], at[g + 1]), slice(g * self.width, min((g + 1) * self.width, self.words))
+                    yield rows, words, _softmax(hidden[rows] @ self.word[words].T + self.word_bias[words])
+
+        return hidden, _softmax(hidden @ self.group + self.group_bias), within()
+
+    def log_probabilities(self, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Of each class in its place; of class 1 that the word is none of the vocabulary."""
+        out = np.empty(len(ids))
+        for lo in range(0, len(ids), BATCH):
+            own = ids[lo : lo + BATCH]
+            groups = self.group_of(own)
+            order = np.argsort(groups, kind="stable")
+            own = own[order]
+            _, of_group, within = self.forward(own, context[:, lo : lo + BATCH][:, order])
+            p = of_group[np.arange(len(own)), groups[order]].astype(np.float64)
+            for rows, words, of_word in within:
+                p[rows] *= of_word[np.arange(rows.stop - rows.start), own[rows] - 2 - words.start]
+            out[lo + order] = np.log(np.maximum(p, 1e-30))
+        return out
 
-def tail(h: np.ndarray) -> np.ndarray:
-    """Hashed class, from 0, of each word hash."""
-    return (h >> np.uint64(40)).astype(np.int64) % TAIL
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
 
-def classes(h: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Class of each word hash; common: sorted hashes of the commonest words."""
-    out = 1 + COMMON + tail(h)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        out = np.where(common[at] == h, 1 + at, out)
-    return out
 
+class Trainer:
+    """Adagrad on a private copy of the network, and the byte pairs of words outside the vocabulary."""
 
-@dataclass
-class Vocabulary:
-    """common: sorted hashes of the commonest words; words: sorted hashes of others, with counts; totals: words met in each hashed class."""
+    def __init__(self, flat: np.ndarray, words: int, width: int = WIDTH):
+        self.net = Network(flat.copy(), words, width)
+        self.squares = np.full(self.net.size, 1e-8, np.float32)
+        self.pairs = np.zeros(_BYTES * _BYTES, np.int64)
+        self.seen = 0
 
-    common: np.ndarray
-    words: np.ndarray
-    counts: np.ndarray
-    totals: np.ndarray
-
-    def log_shares(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Logarithm of each word's share of its class: 0 for the commonest words."""
-        out, rare = np.zeros(len(h)), np.flatnonzero(ids > COMMON)
-        kinds, back = np.unique(h[rare], return_inverse=True)
-        n = np.ones(len(kinds))
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, kinds), len(self.words) - 1)
-            n = np.where(self.words[at] == kinds, self.counts[at], n)
-        out[rare] = np.log(n / np.maximum(self.totals[tail(kinds)], n))[back]
-        return out
+    def learn(self, ids: np.ndarray, context: np.ndarray) -> None:
+        for lo in range(0, len(ids), BATCH):
+            self._learn(ids[lo : lo + BATCH], context[:, lo : lo + BATCH])
+
+    def _learn(self, ids: np.ndarray, context: np.ndarray) -> None:
+        net, n = self.net, len(ids)
+        order = np.argsort(net.group_of(ids), kind="stable")
+        ids, context = ids[order], context[:, order]
+        hidden, e, within = net.forward(ids, context)
+        e[np.arange(n), net.group_of(ids)] -= 1
+        grad = Network(np.zeros(net.size, np.float32), net.words, net.width)
+        back = e @ net.group.T
+        grad.group[:], grad.group_bias[:] = hidden.T @ e, e.sum(0)
+        for rows, words, e in within:
+            e[np.arange(rows.stop - rows.start), ids[rows] - 2 - words.start] -= 1
+            back[rows] += e @ net.word[words]
+            grad.word[words], grad.word_bias[words] = e.T @ hidden[rows], e.sum(0)
+        back *= 1 - hidden * hidden
+        grad.bias[:] = back.sum(0)
+        flat_at, total = np.arange(HIDDEN), np.zeros(net.embed.size)
+        for k in range(2 * SIDE):
+            grad.scale[k] = (back * net.embed[context[k]]).sum(0)
+            total += np.bincount((context[k][:, None] * HIDDEN + flat_at).ravel(), (back * net.scale[k]).ravel(), net.embed.size)
+        grad.embed[:] = total.reshape(net.embed.shape)
+        g = grad.flat
+        g /= n
+        self.seen += n
+        self.squares += g * g
+        g /= np.sqrt(self.squares)
+        g *= RATE
+        net.flat -= g
 
 
 def windows(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
-    """(2 * SIDE, words): the neighbours of each word, farthest left first, the edge class beyond the text."""
+    """(2 * SIDE, words): the classes of each word's neighbours, farthest left first, the edge class 0 beyond the text."""
     counts = np.diff(per_text)
     text = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(ids))
@@ -104,60 +210,32 @@ def windows(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return out
 
 
-def forward(weights: list[np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hidden layer, exponentials of the outputs, their sums) for each place."""
-    embed, b, out, c = weights
-    inner = b + embed[0][context[0]]
-    for k in range(1, 2 * SIDE):
-        inner += embed[k][context[k]]
-    hidden = np.tanh(inner)
-    e = hidden @ out
-    e += c
-    np.exp(np.clip(e, -40, 40, out=e), out=e)
-    return hidden, e, e.sum(1)
-
-
-def log_probabilities(flat: np.ndarray, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
-    weights, out = split(flat), np.empty(len(ids))
-    for lo in range(0, len(ids), BATCH):
-        own = ids[lo : lo + BATCH]
-        _, e, total = forward(weights, context[:, lo : lo + BATCH])
-        out[lo : lo + BATCH] = np.log(e[np.arange(len(own)), own] / total)
-    return out
+def byte_pairs(w: _text.Words, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs within the words numbered rare, offsets per word, pairs at their ends); a pair is 257 * first + second, 256 a word's beginning or end."""
+    start, size = w.start[rare], w.end[rare] - w.start[rare]
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+    before = w.low[np.maximum(at - 1, 0)].astype(np.int64)
+    before[offsets[:-1]] = 256
+    return before * _BYTES + w.low[at], offsets, w.low[w.end[rare] - 1].astype(np.int64) * _BYTES + 256
 
 
-class Trainer:
-    """Adam on a private copy of the network."""
+def spelling(pairs: np.ndarray) -> np.ndarray:
+    """Log-probabilities of byte pairs from their counts."""
+    n = pairs.reshape(_BYTES, _BYTES) + 0.5
+    return np.log(n / n.sum(1, keepdims=True)).ravel()
 
-    def __init__(self, flat: np.ndarray):
-        self.flat = flat.copy()
-        self.weights = split(self.flat)
-        self.first, self.second = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        self.step, self.seen = 0, 0
 
-    def learn(self, ids: np.ndarray, context: np.ndarray) -> None:
-        for lo in range(0, len(ids), BATCH):
-            self._learn(ids[lo : lo + BATCH], context[:, lo : lo + BATCH])
-
-    def _learn(self, ids: np.ndarray, context: np.ndarray) -> None:
-        n = len(ids)
-        hidden, e, total = forward(self.weights, context)
-        e /= total[:, None]
-        e[np.arange(n), ids] -= 1
-        e /= n
-        inner = (e @ self.weights[2].T) * (1 - hidden * hidden)
-        flat_at = np.arange(HIDDEN)
-        grads = [np.bincount((x[:, None] * HIDDEN + flat_at).ravel(), inner.ravel(), CLASSES * HIDDEN) for x in context]
-        g = np.concatenate([*grads, inner.sum(0), (hidden.T @ e).ravel(), e.sum(0)]).astype(np.float32)
-        self.step += 1
-        self.seen += n
-        self.first += 0.1 * (g - self.first)
-        self.second += 0.001 * (g * g - self.second)
-        self.flat -= RATE * (self.first / (1 - 0.9**self.step)) / (np.sqrt(self.second / (1 - 0.999**self.step)) + 1e-8)
+def spelled(w: _text.Words, rare: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Log-probability of each word numbered rare, given that it is none of the vocabulary."""
+    if not len(rare):
+        return np.zeros(0)
+    inside, offsets, end = byte_pairs(w, rare)
+    return np.add.reduceat(table[inside], offsets[:-1]) + table[end]
 
 
-def _texts(batch: pa.RecordBatch, text_col: str) -> Iterator[tuple[int, int, _text.Words, np.ndarray]]:
-    data, offsets = _text.strings(batch.column(text_col))
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, _text.Words, np.ndarray]]:
+    data, offsets = _text.strings(batch.column("text"))
     for lo, hi in _text.blocks(offsets):
         w = _text.words(data, offsets[lo : hi + 1])
         yield lo, hi, w, w.hashes()
@@ -173,7 +251,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], names=["word", "n"])
 
         for b in batches:
-            for _, _, _, h in _texts(b, "text"):
+            for _, _, _, h in _texts(b):
                 more, n = np.unique(h, return_counts=True)
                 words, at = np.unique(np.concatenate([words, more]), return_inverse=True)
                 times = np.bincount(at, np.concatenate([times, n]), len(words)).astype(np.int64)
@@ -185,90 +263,201 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def common_words(docs: DataFrame, most: int = COMMON) -> np.ndarray:
-    """Sorted hashes of the `most` commonest words of all documents."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(most).collect()
-    return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
-
-
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """The vocabulary of all documents."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            word, n = b.column("word").to_numpy(), b.column("n").to_numpy()
-            totals = np.bincount(tail(word.view(np.uint64)), n, TAIL).astype(np.int64)
-            # of words met once only those that may be among the commonest
-            once = np.sort(word[n == 1])[:COMMON]
-            word, n = np.concatenate([word[n > 1], once]), np.concatenate([n[n > 1], np.ones(len(once), np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (word, n, totals)], names=["word", "n", "totals"])
-
-    packed = word_counts(docs).mapInArrow(pack, "word binary, n binary, totals binary").collect()
-    word, n = (np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r[c], np.int64) for r in packed]]) for c in ("word", "n"))
-    totals = sum((np.frombuffer(r.totals, np.int64) for r in packed), np.zeros(TAIL, np.int64))
+def vocabulary(docs: DataFrame, most: int = VOCABULARY, width: int = WIDTH) -> Vocabulary:
+    """The words above the least frequency that at most `most` words reach, and 2 or more."""
+    counts = durable(word_counts(docs), "words")
+    # whole counts up to 1023, sixteenths of a doubling above: under 2,000 rows whatever the corpus
+    level = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.floor(1024 + 16 * (F.log2(F.col("n").cast("double")) - 10))).cast("long")
+    held = {r.level: (r.words, r.tokens) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()}
+    least, taken = None, 0
+    for x in sorted(held, reverse=True):
+        taken += held[x][0]
+        if x < 2 or taken > most:
+            break
+        least = x
+    total = sum(tokens for _, tokens in held.values())
+    if least is None:
+        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), total, width)
+    rows = counts.filter(level >= least).collect()  # `most` at most
+    word, n = np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
     order = np.lexsort((word, -n))
-    top, rest = order[:COMMON], order[COMMON:]
-    rest = rest[n[rest] > 1]
-    rest = rest[np.argsort(word.view(np.uint64)[rest])]
-    h = word.view(np.uint64)
-    totals = totals - np.bincount(tail(h[top]), n[top], TAIL).astype(np.int64)
-    return Vocabulary(np.sort(h[top]), h[rest], n[rest], totals)
+    hashes, classes = word[order].view(np.uint64), np.arange(2, len(order) + 2)
+    by_hash = np.argsort(hashes)
+    return Vocabulary(hashes[by_hash], classes[by_hash], n[order], total, width)
 
 
-def train(docs: DataFrame, common: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """The network's weights after one pass over all documents."""
+def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(the dense part's weights, counts of byte pairs) after one pass over all documents."""
     sc = docs.sparkSession.sparkContext
-    flat = fresh()
+    words = len(known.counts)
+    flat, pairs = Network.fresh(known).flat, np.zeros(_BYTES * _BYTES, np.int64)
+    schema = "part long, seen long, weights binary, pairs binary"
+    names = ["part", "seen", "weights", "pairs"]
     for r in range(rounds):
-        model = sc.broadcast((flat, common))
+        model = sc.broadcast((flat, known))
 
         def learn(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            start, words = model.value
-            own = Trainer(start)
+            start, vocabulary = model.value
+            own = Trainer(start, words, vocabulary.width)
             for b in batches:
-                for _, _, w, h in _texts(b, "text"):
-                    ids = classes(h, words)
+                for _, _, w, h in _texts(b):
+                    ids = vocabulary.ids(h)
                     own.learn(ids, windows(ids, w.per_text))
+                    inside, _, end = byte_pairs(w, np.flatnonzero(ids == 1))
+                    own.pairs += np.bincount(np.concatenate([inside, end]), minlength=len(own.pairs))
             if own.seen:
-                yield pa.RecordBatch.from_arrays([pa.array([own.seen], pa.int64()), pa.array([own.flat.tobytes()], pa.binary())], names=["seen", "weights"])
+                row = [TaskContext.get().partitionId(), own.seen, own.net.flat.tobytes(), own.pairs.tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=names)
 
         def mean(table: pa.Table) -> pa.Table:
             seen = table.column("seen").to_numpy()
-            total = np.zeros(sum(_SIZES))
-            for n, x in zip(seen, table.column("weights"), strict=True):
+            total, counts = np.zeros(len(flat)), np.zeros(_BYTES * _BYTES, np.int64)
+            for n, x, p in zip(seen, table.column("weights"), table.column("pairs"), strict=True):
                 total += n / seen.sum() * np.frombuffer(x.as_py(), np.float32)
-            return pa.table({"seen": [int(seen.sum())], "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+                counts += np.frombuffer(p.as_py(), np.int64)
+            return pa.table({"part": [table.column("part")[0].as_py() // FAN], "seen": [int(seen.sum())], "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "pairs": pa.array([counts.tobytes()], pa.binary())})
 
         part = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r).select("text")
-        copies = part.mapInArrow(learn, "seen long, weights binary")
-        for groups in (64, 1):  # few enough copies for one task after the first step
-            copies = copies.groupBy(F.pmod(F.xxhash64("weights"), F.lit(groups))).applyInArrow(mean, "seen long, weights binary")
-        if got := copies.collect():
-            flat = np.frombuffer(got[0].weights, np.float32)
+        copies = durable(part.mapInArrow(learn, schema), "copies")
+        n = (copies.agg(F.max("part")).first()[0] or 0) + 1
+        while n > 1:  # a tree of FAN
+            copies = copies.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(mean, schema)
+            n = -(-n // FAN)
+        if got := copies.collect():  # one row
+            flat, pairs = np.frombuffer(got[0].weights, np.float32), pairs + np.frombuffer(got[0].pairs, np.int64)
         model.unpersist()
-    return flat
-
-
-def score(docs: DataFrame, flat: np.ndarray, known: Vocabulary, text_col: str = "text") -> DataFrame:
-    """docs with n_words, log_likelihood (the sum) and mean_log_likelihood."""
-    model = docs.sparkSession.sparkContext.broadcast((flat, known))
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType())]
+    return flat, pairs
+
+
+def unit_keys(h: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the pair of neighbours of each word, key of that pair and the word)."""
+    left, right = np.empty_like(h), np.empty_like(h)
+    left[1:], right[:-1] = h[:-1], h[1:]
+    some = per_text[:-1][np.diff(per_text) > 0]
+    left[some] = _EDGE
+    right[per_text[1:][np.diff(per_text) > 0] - 1] = _EDGE
+    pair = _text.mix(_text.mix(left * np.uint64(0xD6E8FEB86659FD93)) + right)
+    return pair, (pair >> _WORD_BITS << _WORD_BITS) | (h >> (np.uint64(64) - _WORD_BITS))
+
+
+def gains(keys: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    """What each word's log-probability gains by the sparse part; keys and logp are of all words of a shard."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    fresh = np.ones(len(k), bool)
+    fresh[1:] = k[1:] != k[:-1]
+    kind = np.cumsum(fresh) - 1  # number of the (pair, word)
+    c = np.bincount(kind)
+    pair = (k >> _WORD_BITS)[fresh]
+    other = np.ones(len(pair), bool)
+    other[1:] = pair[1:] != pair[:-1]
+    unit = np.cumsum(other) - 1
+    m, t = np.bincount(unit, c)[unit][kind] - 1, np.bincount(unit)[unit][kind]
+    c = c[kind]
+    t = t - (c == 1)
+    own = np.exp(np.maximum(logp[order].astype(np.float64), -700))
+    out = np.zeros(len(k))
+    met = m > 0
+    p = (c[met] - 1 + t[met] * own[met]) / (m[met] + t[met])
+    # where the word is not among the others, p is a share of the dense part's, however small that is
+    gain = np.where(c[met] == 1, np.log(t[met] / (m[met] + t[met])), np.log(np.maximum(p, 1e-300)) - logp[order][met])
+    out[order[met]] = gain
+    return out
 
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        weights, words = model.value
-        n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-        for lo, hi, w, h in _texts(batch, text_col):
-            ids = classes(h, words.common)
-            logp = log_probabilities(weights, ids, windows(ids, w.per_text)) + words.log_shares(h, ids)
-            n[lo:hi] = np.diff(w.per_text)
-            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), n[lo:hi]), logp, hi - lo)
-        return [pa.array(n), pa.array(total), pa.array(np.where(n > 0, total / np.maximum(n, 1), np.nan), mask=n == 0)]
 
-    return append_columns(docs, fields, run)
+def score(docs: DataFrame, flat: np.ndarray, pairs: np.ndarray, known: Vocabulary, frequent: int = FREQUENT, chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """(doc_id, n_words, log_likelihood, mean_log_likelihood) of docs (doc_id, text)."""
+    spark = docs.sparkSession
+    shards = partitions_for(spark, -(-known.total // shard_tokens))
+    first_rare = 2 + int((known.counts * frequent > known.total).sum())  # of the classes, which fall by count
+    model = spark.sparkContext.broadcast((flat, spelling(pairs), known))
+    id_type = docs.schema["doc_id"].dataType
+    member = [T.StructField("ids", T.ArrayType(id_type)), T.StructField("n", T.ArrayType(T.LongType())), T.StructField("sums", T.ArrayType(T.DoubleType()))]
+    packed = [T.StructField("places", T.BinaryType()), T.StructField("values", T.BinaryType())]
+    sent = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("shard", T.LongType()), T.StructField("keys", T.BinaryType()), *packed, *member])
+    back = T.StructType([T.StructField("chunk", T.LongType()), *packed, *member])
+
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, table, vocabulary = model.value
+        net = Network(weights, len(vocabulary.counts), vocabulary.width)
+        number = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """One row of the chunk's texts, to a shard of its own, and a row of words for each shard."""
+            ids, n, sums = pa.concat_arrays([x[0] for x in held]), np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
+            base = np.cumsum([0, *[len(x[1]) for x in held]])
+            pair, keys, logp = (np.concatenate([x[i] for x in held]) for i in (3, 4, 5))
+            place = np.concatenate([x[6] + b for x, b in zip(held, base, strict=False)]).astype("<u2" if len(n) <= 1 << 16 else "<u4")
+            shard = (pair % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            at = np.searchsorted(shard[order], np.arange(shards + 1))
+            some = [s for s in range(shards) if at[s] < at[s + 1]]
+            cut = [order[at[s] : at[s + 1]] for s in some]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), x) for x in (ids, pa.array(n), pa.array(sums))]
+            rows = [
+                pa.array([number] * (len(some) + 1)), pa.array([shards + number % shards, *some], pa.int64()),
+                pa.array([None, *[keys[c].tobytes() for c in cut]], pa.binary()), pa.array([None, *[place[c].tobytes() for c in cut]], pa.binary()), pa.array([None, *[logp[c].tobytes() for c in cut]], pa.binary()),
+                *[pa.concat_arrays([x, pa.nulls(len(some), x.type)]) for x in lists],
+            ]
+            yield pa.RecordBatch.from_arrays(rows, names=sent.names)
+
+        tokens = 0
+        for b in batches:
+            for lo, hi, w, h in _texts(b):
+                ids = vocabulary.ids(h)
+                context = windows(ids, w.per_text)
+                logp = net.log_probabilities(ids, context)
+                rare = np.flatnonzero(ids == 1)
+                logp[rare] += spelled(w, rare, table)
+                n = np.diff(w.per_text)
+                text = np.repeat(np.arange(hi - lo), n)
+                near = context[SIDE - 1 : SIDE + 1]
+                unit = np.flatnonzero(~((near != 1) & (near < first_rare)).all(0))
+                pair, keys = unit_keys(h, w.per_text)
+                held.append((b.column("doc_id").slice(lo, hi - lo), n, np.bincount(text, logp, hi - lo).astype(np.float64), pair[unit], keys[unit], logp[unit].astype(np.float32), text[unit]))
+                tokens += len(h)
+                if tokens >= chunk_tokens:
+                    yield from flush()
+                    held, tokens, number = [], 0, number + 1
+        if held:
+            yield from flush()
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= shards:  # the chunks' texts
+            return table.select(back.names)
+        keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
+        gain = gains(np.concatenate(keys), np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in table.column("values")]))
+        places, values, lo = [], [], 0
+        for own, p in zip(keys, table.column("places"), strict=True):
+            mine = gain[lo : lo + len(own)]
+            lo += len(own)
+            place = np.frombuffer(p.as_py(), "<u2" if len(p.as_py()) == 2 * len(own) else "<u4")
+            got = np.flatnonzero(mine)
+            text, at = np.unique(place[got], return_inverse=True)
+            places.append(text.astype("<u4").tobytes())
+            values.append(np.bincount(at, mine[got], len(text)).tobytes())
+        out = [table.column("chunk"), pa.array(places, pa.binary()), pa.array(values, pa.binary()), *[pa.nulls(len(keys), table.schema.field(f.name).type) for f in member]]
+        return pa.table(out, names=back.names).filter(pa.array([len(p) > 0 for p in places], pa.bool_()))
+
+    def gather(table: pa.Table) -> pa.Table:
+        of_texts = table.filter(table.column("ids").is_valid())
+        ids, n, sums = (of_texts.column(f.name).combine_chunks().flatten() for f in member)
+        total = sums.to_numpy().copy()
+        for p, v in zip(table.column("places"), table.column("values"), strict=True):
+            if p.is_valid:
+                total[np.frombuffer(p.as_py(), "<u4")] += np.frombuffer(v.as_py(), np.float64)
+        n = n.to_numpy()
+        mean = pa.array(np.where(n > 0, total / np.maximum(n, 1), np.nan), mask=n == 0)
+        return pa.table([ids, pa.array(n), pa.array(total), mean], names=out.names)
+
+    out = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType())])
+    gained = docs.select("doc_id", "text").mapInArrow(scatter, sent).groupBy("shard").applyInArrow(count, back)
+    return gained.groupBy("chunk").applyInArrow(gather, out)
 
 
 def score_report(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_words, log_likelihood, mean_log_likelihood."""
     docs = docs.select("doc_id", "text")
     known = vocabulary(docs)
-    return score(docs, train(docs, known.common), known).select("doc_id", "n_words", "log_likelihood", "mean_log_likelihood")
+    return score(docs, *train(docs, known), known)

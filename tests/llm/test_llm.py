@@ -391,62 +391,98 @@ def test_fingerprints_of_hard_tables(spark, docs):
 
 
 def test_lm(docs):
-    flat = lm_scoring.fresh()
-    ids = np.array([5, 6, 7, 8, 9])
-    per = np.array([0, 3, 3, 5])
-    context = lm_scoring.windows(ids, per)
-    assert context[:, 0].tolist() == [0, 0, 6, 7] and context[:, 4].tolist() == [0, 8, 0, 0]
-    embed, b, out, c = lm_scoring.split(flat)
-    for k, p in enumerate(lm_scoring.log_probabilities(flat, ids, context)):
-        hidden = np.tanh(b + sum(embed[j][context[j, k]] for j in range(4)))
-        logits = hidden @ out + c
-        assert math.isclose(p, logits[ids[k]] - np.log(np.exp(logits).sum()), rel_tol=1e-4)
-    got = lm_scoring.score_report(docs.select("doc_id", "text"))
+    got = lm_scoring.score_report(docs)
     rows = {r.doc_id: r for r in got.collect()}
+    assert got.columns == ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
     assert rows[4].n_words == 0 and rows[4].log_likelihood == 0 and rows[4].mean_log_likelihood is None
     assert rows[11].n_words == 9000 and rows[11].mean_log_likelihood > -math.log(lm_scoring.CLASSES)
     assert got.count() == docs.count() and lm_scoring.score_report(empty(docs)).count() == 0
 
 
-def test_lm_gradient():
-    trainer = lm_scoring.Trainer(lm_scoring.fresh())
-    ids = np.array([RNG.choice([3, 4, 5]) for _ in range(3000)])
-    ids[1::2] = 3
+def small_corpus():
+    rng = random.Random(4)
+    kinds = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(kinds) for _ in range(rng.randint(0, 25))) for _ in range(40)] + ["rare words stand here but once zzé9", "a", None, "", "twice told tale of one text twice told"]
+    return [(i, t) for i, t in enumerate([*texts, texts[-1], "w1 " * 300])]
+
+
+@pytest.mark.parametrize("frequent", [1, 25])
+def test_lm_scores_match_brute_force(spark, frequent):
+    """Every word's probability from first principles: groups, words, spelling, and the other occurrences of its neighbours."""
+    rows = small_corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [words(t) for _, t in rows]
+    known = lm_scoring.vocabulary(df, most=20, width=7)
+    seen = collections.Counter(w for t in texts for w in t)
+    least = min(n for n in set(seen.values()) if n >= 2 and sum(m >= n for m in seen.values()) <= 20)
+    own_hash = lambda w: int(_text.words(*_text.strings(pa.array([w]))).hashes()[0])
+    ranked = sorted((w for w in seen if seen[w] >= least), key=lambda w: (-seen[w], np.int64(np.uint64(own_hash(w)))))
+    assert known.total == sum(seen.values()) and known.counts.tolist() == [seen[w] for w in ranked]
+    classes = {w: i + 2 for i, w in enumerate(ranked)}
+    flat, pairs = lm_scoring.train(df, known)
+    spelt = collections.Counter()
+    for w in (w for t in texts for w in t if w not in classes):
+        spelt.update(zip([256, *w.encode()], [*w.encode(), 256], strict=True))
+    assert {divmod(i, 257): n for i, n in enumerate(pairs.tolist()) if n} == spelt
+    net = lm_scoring.Network(flat, len(ranked), 7)
+    at = lambda t, i: t[i] if 0 <= i < len(t) else None
+    cls = lambda w: 0 if w is None else classes.get(w, 1)
+    between = collections.defaultdict(collections.Counter)
+    for t in texts:
+        for i, w in enumerate(t):
+            between[at(t, i - 1), at(t, i + 1)][w] += 1
+    got = {r.doc_id: r for r in lm_scoring.score(df, flat, pairs, known, frequent, chunk_tokens=60, shard_tokens=50).collect()}
+    for (d, _), t in zip(rows, texts, strict=True):
+        total = 0.0
+        for i, w in enumerate(t):
+            hidden = np.tanh(net.bias + sum(net.embed[cls(at(t, i + s))] * net.scale[k] for k, s in enumerate((-2, -1, 1, 2))))
+            logits = hidden @ net.group + net.group_bias
+            g = (classes[w] - 2) // 7 if w in classes else net.groups - 1
+            p = np.exp(logits[g]) / np.exp(logits).sum()
+            if w in classes:
+                logits = net.word[g * 7 : g * 7 + 7] @ hidden + net.word_bias[g * 7 : g * 7 + 7]
+                p *= np.exp(logits[classes[w] - 2 - g * 7]) / np.exp(logits).sum()
+            else:
+                for a, b in zip([256, *w.encode()], [*w.encode(), 256], strict=True):
+                    p *= (spelt[a, b] + 0.5) / (sum(n for (x, _), n in spelt.items() if x == a) + 0.5 * 257)
+            sides = (at(t, i - 1), at(t, i + 1))
+            if not all(x is None or (x in classes and seen[x] * frequent > known.total) for x in sides):
+                others = between[sides].copy()
+                others[w] -= 1
+                m, kinds = sum(others.values()), sum(n > 0 for n in others.values())
+                p = (others[w] + kinds * p) / (m + kinds) if m else p
+            total += math.log(p)
+        assert got[d].n_words == len(t) and math.isclose(got[d].log_likelihood, total, rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_lm_tells_texts_that_occur_twice(spark):
+    rng = random.Random(8)
+    kinds = ["".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(3, 9))) for _ in range(12_000)]
+    texts = [" ".join(rng.choice(kinds) for _ in range(80)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:20])), "doc_id long, text string")
+    got = {r.doc_id: r.mean_log_likelihood for r in lm_scoring.score_report(df).collect()}
+    assert min(got[i] for i in range(20)) > max(got[i] for i in range(20, 150)) + 1
+
+
+def test_lm_learns_from_context():
+    rng = np.random.default_rng(0)
+    ids = rng.integers(2, 300, 4000)
+    ids[1::2] = ids[::2] % 50 + 300  # each second word follows from the one before
+    known = lm_scoring.Vocabulary(np.arange(350, dtype=np.uint64), np.arange(2, 352), np.bincount(ids, minlength=352)[2:] + 1, len(ids))
+    start = lm_scoring.Network.fresh(known)
+    trainer = lm_scoring.Trainer(start.flat, 350)
     context = lm_scoring.windows(ids, np.array([0, len(ids)]))
-    before = lm_scoring.log_probabilities(trainer.flat, ids, context).mean()
+    assert context[:, 0].tolist() == [0, 0, ids[1], ids[2]] and context[:, -1].tolist() == [ids[-3], ids[-2], 0, 0]
+    before = start.log_probabilities(ids, context)[1::2].mean()
     for _ in range(150):
         trainer.learn(ids, context)
-    after = lm_scoring.log_probabilities(trainer.flat, ids, context).mean()
-    assert after > -0.75 > before
-
-
-def test_common_words_cover_all(spark):
-    df = spark.createDataFrame([("b a a",), (None,), ("A c c c",)], "text string")
-    w = _text.words(*_text.strings(pa.array(["c a"])))
-    assert lm_scoring.common_words(df, 2).tolist() == sorted(w.hashes().tolist())
-
-
-def test_shares_of_rare_words(spark):
-    rng = random.Random(4)
-    kinds = [f"w{i}" for i in range(600)]
-    texts = [" ".join(kinds)] + [" ".join(w for w in kinds[:400] if rng.random() < 0.5) for _ in range(30)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    known = lm_scoring.vocabulary(df)
-    assert known.common.tolist() == lm_scoring.common_words(df).tolist()
-    seen = collections.Counter(" ".join(texts).split())
-    h = _text.words(*_text.strings(pa.array([" ".join(kinds)]))).hashes()
-    ids = lm_scoring.classes(h, known.common)
-    shares = np.exp(known.log_shares(h, ids))
-    assert (ids > lm_scoring.COMMON).sum() == 600 - lm_scoring.COMMON
-    for c in set(ids[ids > lm_scoring.COMMON].tolist()):
-        total = sum(seen[w] for w, i in zip(kinds, ids, strict=True) if i == c)
-        for w, i, x in zip(kinds, ids, shares, strict=True):
-            assert i != c or math.isclose(x, seen[w] / total)
-        assert math.isclose(shares[ids == c].sum(), 1)
-    flat = lm_scoring.train(df, known.common)
-    got = lm_scoring.score(df, flat, known).filter("doc_id = 0").first()
-    want = lm_scoring.log_probabilities(flat, ids, lm_scoring.windows(ids, np.array([0, 600]))) + np.log(shares)
-    assert math.isclose(got.log_likelihood, want.sum(), rel_tol=1e-5) and math.isclose(lm_scoring.score_report(df).filter("doc_id = 0").first().log_likelihood, want.sum(), rel_tol=0.2)
+    assert trainer.net.log_probabilities(ids, context)[1::2].mean() > before + 1
+    # the gradient, by differences
+    one = lm_scoring.Trainer(start.flat, 350)
+    one.learn(ids, context)
+    step = one.net.flat - start.flat
+    again = lm_scoring.Network((start.flat + 0.02 * step).astype(np.float32), 350)
+    assert again.log_probabilities(ids, context).mean() > start.log_probabilities(ids, context).mean()
 
 
 def test_shards(spark, docs):
