@@ -595,6 +595,51 @@ def test_quality(spark, docs):
     assert quality_classifier.keep_good(empty(docs), labels).columns == docs.columns
 
 
+def test_quality_by_hand(spark):
+    """Descriptions, sample, moments and scores as plain Python has them; one text of a repeated id."""
+    rows = [(i, junk(i) if i % 3 == 0 else prose(40)) for i in range(300)] + [(1, "another text of the id"), (1, None), (None, prose(9))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(300)] + [(2, 0), (4, None)], "doc_id long, quality int")
+    described = quality_classifier.describe(df)
+    own = lambda t: quality_classifier.features(*_text.strings(pa.array([t], pa.string())))[0]
+    fold = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    held = collections.defaultdict(list)
+    for d, t in rows:
+        held[d].append(own(t).tobytes())
+    good = [i for i in range(300) if i % 3 and i not in (2, 4) and not fold(i)]
+    got = quality_classifier._positives(described, labels, 10_000)
+    assert [x.tobytes() for x in got] == [min(held[i]) for i in good]
+    assert len(quality_classifier._positives(described, labels, 7)) == 7
+    x = np.stack([own(t) for d, t in rows if d is not None and not fold(d)]).astype(np.float64)
+    net = quality_classifier.fit_on(described, labels)
+    assert np.allclose(net.mean, x.mean(0), atol=1e-6) and np.allclose(net.scale[:-128], np.maximum(x.std(0), 1e-3)[:-128], atol=1e-4) and np.allclose(net.scale[-128:], 8 * np.maximum(x.std(0), 1e-3)[-128:], atol=1e-3)
+    scores = collections.defaultdict(list)
+    for r in quality_classifier.quality_report(df, labels).collect():
+        scores[r.doc_id].append(r.score)
+    w1, b1, w2, b2 = net.weights()
+    for d in (0, 7, None):
+        z = np.clip((own(dict(rows[:300] + rows[302:])[d]).astype(float) - net.mean) / net.scale, -8, 8)
+        assert any(math.isclose(s, 1 / (1 + math.exp(-(np.tanh(z @ w1 + b1) @ w2 + b2[0]))), rel_tol=1e-9) for s in scores[d])
+    assert len(scores[1]) == 3
+
+
+def test_risk_by_differences():
+    """The derivatives of both branches of the non-negative risk."""
+    rng = np.random.default_rng(1)
+    fp, fu = rng.normal(0, 1, 7), rng.normal(0, 1, 9)
+    soft = lambda v: np.logaddexp(0, v).mean()
+    for prior in (0.2, 0.95):
+        negative = soft(fu) - prior * soft(fp)
+        risk = (lambda p, u: prior * soft(-p) + soft(u) - prior * soft(p)) if negative >= 0 else (lambda p, u: prior * soft(p) - soft(u))
+        sp, su = quality_classifier.slopes(fp, fu, prior)
+        for i in range(7):
+            e = np.eye(7)[i] * 1e-6
+            assert math.isclose(sp[i], (risk(fp + e, fu) - risk(fp - e, fu)) / 2e-6, rel_tol=1e-4, abs_tol=1e-8)
+        for i in range(9):
+            e = np.eye(9)[i] * 1e-6
+            assert math.isclose(su[i], (risk(fp, fu + e) - risk(fp, fu - e)) / 2e-6, rel_tol=1e-4, abs_tol=1e-8)
+
+
 def test_class_prior():
     rng = np.random.default_rng(0)
     good, bad = rng.normal(2, 1, 4000), rng.normal(-2, 1, 4000)
