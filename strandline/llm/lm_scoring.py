@@ -5,9 +5,9 @@ text's score. The network has two parts.
 
 The dense part is trained in numpy. Its inputs are the SIDE words on either side, one embedding a word
 scaled by place, then a tanh layer. Its outputs are a group of words and, within the group, a word:
-VOCABULARY words at most, the commonest by counts over all documents, in groups of WIDTH, and one more
-group for all other words, which are spelled by a byte-pair table gathered from them. So every word,
-known or not, has a probability. Training passes over every word of the corpus once, in ROUNDS parts:
+VOCABULARY words at most, the commonest by counts over all documents, in GROUPS groups (small ones of common
+words, large ones of rare words), and one more group for all other words, which are spelled by a byte-pair
+table gathered from them. So every word, known or not, has a probability. Training passes over every word of the corpus once, in ROUNDS parts:
 each task trains its own copy, copies are averaged by the words they saw in a tree of FAN, and the
 average starts the next round.
 
@@ -45,7 +45,7 @@ from strandline.llm._shared import durable, partitions_for
 VOCABULARY = 20_480
 #: The classes that the dense part knows: the edge of a text, all other words, and the vocabulary.
 CLASSES = VOCABULARY + 2
-WIDTH = 144
+GROUPS = 80
 FREQUENT = 4096
 SIDE = 2
 HIDDEN = 16
@@ -57,7 +57,7 @@ FAN = 16
 HELD_WORDS = 1 << 20
 #: Words that a scoring task packs together, and that a shard has, about.
 CHUNK_TOKENS = 1 << 19
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 
 _EDGE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = 257
@@ -67,13 +67,21 @@ _MEMBER = [("n", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64()))]
 
 @dataclass
 class Vocabulary:
-    """hashes: sorted word hashes; classes: the class of each, 2 and up by falling count; counts: by class; total: words of the corpus; width: words of a group."""
+    """hashes: sorted word hashes; classes: the class of each, 2 and up by falling count; counts: by class; total: words of the corpus."""
 
     hashes: np.ndarray
     classes: np.ndarray
     counts: np.ndarray
     total: int
-    width: int = WIDTH
+    groups: int = GROUPS
+
+    @staticmethod
+    def of(word: np.ndarray, n: np.ndarray, total: int, groups: int = GROUPS) -> Vocabulary:
+        """Of words (hashes as int64) and their counts; of equal counts the lesser hash comes first."""
+        order = np.lexsort((word, -n))
+        hashes, classes = word[order].view(np.uint64), np.arange(2, len(order) + 2)
+        by_hash = np.argsort(hashes)
+        return Vocabulary(hashes[by_hash], classes[by_hash], n[order], total, groups)
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         """Class of each word hash; 1 for words outside the vocabulary."""
@@ -83,83 +91,92 @@ class Vocabulary:
             out = np.where(self.hashes[at] == h, self.classes[at], out)
         return out
 
+    def starts(self) -> np.ndarray:
+        """The first word of each group, and the number of words: groups have about equal sums of the roots of their counts, which keeps sums over groups and over words short."""
+        roots = np.cumsum(np.sqrt(self.counts))
+        if not len(roots):
+            return np.zeros(1, np.int64)
+        cuts = np.searchsorted(roots, roots[-1] * np.arange(1, self.groups) / self.groups)
+        return np.unique(np.concatenate([[0], cuts, [len(roots)]]))
+
 
 class Network:
     """The dense part: views of one vector of weights."""
 
-    def __init__(self, flat: np.ndarray, words: int, width: int = WIDTH):
-        self.flat, self.words, self.width = flat, words, width
-        self.groups = -(-words // width) + 1
-        shapes = [(words + 2, HIDDEN), (2 * SIDE, HIDDEN), (HIDDEN,), (HIDDEN, self.groups), (self.groups,), (words, HIDDEN), (words,)]
+    def __init__(self, flat: np.ndarray | None, starts: np.ndarray):
+        self.starts, self.words, self.groups = starts, int(starts[-1]), len(starts)
+        shapes = [(self.words + 2, HIDDEN), (2 * SIDE, HIDDEN), (HIDDEN,), (HIDDEN, self.groups), (self.groups,), (self.words, HIDDEN), (self.words,)]
         at = np.concatenate([[0], np.cumsum([int(np.prod(s)) for s in shapes])])
-        self.embed, self.scale, self.bias, self.group, self.group_bias, self.word, self.word_bias = (flat[a:b].reshape(s) for a, b, s in zip(at[:-1], at[1:], shapes, strict=True))
-        self.size = int(at[-1])
+        self.flat = np.zeros(at[-1], np.float32) if flat is None else flat
+        self.embed, self.scale, self.bias, self.group, self.group_bias, self.word, self.word_bias = (self.flat[a:b].reshape(s) for a, b, s in zip(at[:-1], at[1:], shapes, strict=True))
+        #: Group of each class; the last is that of class 1, all words outside the vocabulary.
+        self.group_of = np.full(self.words + 2, self.groups - 1, np.int16)
+        self.group_of[2:] = np.repeat(np.arange(self.groups - 1), np.diff(starts))
 
     @staticmethod
     def fresh(known: Vocabulary, seed: int = 11) -> Network:
         """Small random weights; biases that give each word its share of the corpus."""
-        words = len(known.counts)
-        sizes = [(words + 2 + 2 * SIDE + 1) * HIDDEN, (-(-words // known.width) + 1) * (HIDDEN + 1), words * (HIDDEN + 1)]
-        net = Network(np.zeros(sum(sizes), np.float32), words, known.width)
+        net = Network(None, known.starts())
         rng = np.random.default_rng(seed)
         for w, spread in ((net.embed, 0.3), (net.group, 0.05), (net.word, 0.05)):
             w[:] = rng.normal(0, spread, w.shape)
         net.scale[:] = 1
         net.word_bias[:] = np.log(known.counts)
-        mass = np.bincount(np.arange(words) // known.width, known.counts, net.groups)
+        for a, b in zip(net.starts[:-1], net.starts[1:], strict=True):
+            net.word_bias[a:b] -= np.log(known.counts[a:b].sum())
+        mass = np.bincount(net.group_of[2:], known.counts, net.groups)
         mass[-1] = known.total - mass.sum()
         net.group_bias[:] = np.log(np.maximum(mass, 0.5) / max(known.total, 1))
         return net
 
-    def group_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids > 1, (ids - 2) // self.width, self.groups - 1)
-
-    def forward(self, ids: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[slice, slice, np.ndarray]]]:
-        """(hidden layer, group probabilities, and for each group of words its rows, its words and their probabilities); ids sorted by group."""
-        inner = self.bias + self.embed[context[0]] * self.scale[0]
-        for k in range(1, 2 * SIDE):
-            inner += self.embed[context[k]] * self.scale[k]
+    def forward(self, ids: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]]:
+        """(hidden layer, exponentials and reciprocal sums of the groups' outputs, and for each group of words its rows, its words and their exponentials and reciprocal sums); ids sorted by group."""
+        inner = np.broadcast_to(self.bias, (len(ids), HIDDEN)).copy()
+        more = np.empty_like(inner)
+        for k in range(2 * SIDE):
+            np.take(self.embed, context[k], axis=0, out=more)
+            more *= self.scale[k]
+            inner += more
         hidden = np.tanh(inner, out=inner)
-        groups = self.group_of(ids)
-        at = np.searchsorted(groups, np.arange(self.groups))
+        at = np.searchsorted(self.group_of[ids], np.arange(self.groups))
 
-        def within() -> Iterator[tuple[slice, slice, np.ndarray]]:
+        def within() -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
             for g in range(self.groups - 1):
                 if at[g] < at[g + 1]:
-                    rows, words = slice(at[g], at[g + 1]), slice(g * self.width, min((g + 1) * self.width, self.words))
-                    yield rows, words, _softmax(hidden[rows] @ self.word[words].T + self.word_bias[words])
+                    rows, words = slice(at[g], at[g + 1]), slice(self.starts[g], self.starts[g + 1])
+                    yield rows, words, *_exponentials(hidden[rows] @ self.word[words].T, self.word_bias[words])
 
-        return hidden, _softmax(hidden @ self.group + self.group_bias), within()
+        return hidden, *_exponentials(hidden @ self.group, self.group_bias), within()
 
     def log_probabilities(self, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Of each class in its place; of class 1 that the word is none of the vocabulary."""
         out = np.empty(len(ids))
         for lo in range(0, len(ids), BATCH):
             own = ids[lo : lo + BATCH]
-            groups = self.group_of(own)
-            order = np.argsort(groups, kind="stable")
+            order = np.argsort(self.group_of[own], kind="stable")
             own = own[order]
-            _, of_group, within = self.forward(own, context[:, lo : lo + BATCH][:, order])
-            p = of_group[np.arange(len(own)), groups[order]].astype(np.float64)
-            for rows, words, of_word in within:
-                p[rows] *= of_word[np.arange(rows.stop - rows.start), own[rows] - 2 - words.start]
+            _, e, share, within = self.forward(own, context[:, lo : lo + BATCH][:, order])
+            p = (e[np.arange(len(own)), self.group_of[own]] * share).astype(np.float64)
+            for rows, words, e, share in within:
+                p[rows] *= e[np.arange(len(e)), own[rows] - 2 - words.start] * share
             out[lo + order] = np.log(np.maximum(p, 1e-30))
         return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
+def _exponentials(x: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x + bias), in place of x, and the reciprocals of its rows' sums."""
+    x += bias
+    np.minimum(x, 80, out=x)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+    return x, 1 / np.maximum(x @ np.ones(x.shape[1], np.float32), 1e-30)
 
 
 class Trainer:
     """Adagrad on a private copy of the network, and the byte pairs of words outside the vocabulary."""
 
-    def __init__(self, flat: np.ndarray, words: int, width: int = WIDTH):
-        self.net = Network(flat.copy(), words, width)
-        self.squares = np.full(self.net.size, 1e-8, np.float32)
+    def __init__(self, flat: np.ndarray, starts: np.ndarray):
+        self.net, self.squares = Network(flat.copy(), starts), Network(None, starts)
+        self.squares.flat += 1e-8
         self.pairs = np.zeros(_BYTES * _BYTES, np.int64)
         self.seen = 0
 
@@ -167,33 +184,46 @@ class Trainer:
         for lo in range(0, len(ids), BATCH):
             self._learn(ids[lo : lo + BATCH], context[:, lo : lo + BATCH])
 
+    def _step(self, name: str, at: slice | np.ndarray, g: np.ndarray, n: int) -> None:
+        """One step on some rows of a part, along its gradient summed over n words."""
+        g /= n
+        squares, weights = getattr(self.squares, name), getattr(self.net, name)
+        s = squares[at] + g * g
+        squares[at] = s
+        g /= np.sqrt(s)
+        g *= RATE
+        weights[at] -= g
+
     def _learn(self, ids: np.ndarray, context: np.ndarray) -> None:
-        net, n = self.net, len(ids)
-        order = np.argsort(net.group_of(ids), kind="stable")
+        net, n, all_ = self.net, len(ids), slice(None)
+        order = np.argsort(net.group_of[ids], kind="stable")
         ids, context = ids[order], context[:, order]
-        hidden, e, within = net.forward(ids, context)
-        e[np.arange(n), net.group_of(ids)] -= 1
-        grad = Network(np.zeros(net.size, np.float32), net.words, net.width)
+        hidden, e, share, within = net.forward(ids, context)
+        e *= share[:, None]
+        e[np.arange(n), net.group_of[ids]] -= 1
         back = e @ net.group.T
-        grad.group[:], grad.group_bias[:] = hidden.T @ e, e.sum(0)
-        for rows, words, e in within:
-            e[np.arange(rows.stop - rows.start), ids[rows] - 2 - words.start] -= 1
+        steps = [("group", all_, hidden.T @ e), ("group_bias", all_, e.sum(0))]
+        for rows, words, e, share in within:
+            e *= share[:, None]
+            e[np.arange(len(e)), ids[rows] - 2 - words.start] -= 1
             back[rows] += e @ net.word[words]
-            grad.word[words], grad.word_bias[words] = e.T @ hidden[rows], e.sum(0)
+            self._step("word", words, e.T @ hidden[rows], n)
+            self._step("word_bias", words, np.ones(len(e), np.float32) @ e, n)
         back *= 1 - hidden * hidden
-        grad.bias[:] = back.sum(0)
-        flat_at, total = np.arange(HIDDEN), np.zeros(net.embed.size)
-        for k in range(2 * SIDE):
-            grad.scale[k] = (back * net.embed[context[k]]).sum(0)
-            total += np.bincount((context[k][:, None] * HIDDEN + flat_at).ravel(), (back * net.scale[k]).ravel(), net.embed.size)
-        grad.embed[:] = total.reshape(net.embed.shape)
-        g = grad.flat
-        g /= n
+        embed, scale, touched = np.zeros_like(net.embed), np.empty((2 * SIDE, HIDDEN), np.float32), np.zeros(net.words + 2, bool)
+        for k in range(2 * SIDE):  # sums of back by class at this place
+            own = context[k].astype(np.int16 if net.words < 1 << 15 else np.int32)
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            kinds, sums = own[first], np.add.reduceat(back[order], first, axis=0)
+            scale[k] = (sums * net.embed[kinds]).sum(0)
+            embed[kinds] += sums * net.scale[k]
+            touched[kinds] = True
+        steps += [("bias", all_, back.sum(0)), ("scale", all_, scale), ("embed", (at := np.flatnonzero(touched)), embed[at])]
+        for name, at, g in steps:
+            self._step(name, at, g, n)
         self.seen += n
-        self.squares += g * g
-        g /= np.sqrt(self.squares)
-        g *= RATE
-        net.flat -= g
 
 
 def windows(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -263,7 +293,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, most: int = VOCABULARY, width: int = WIDTH) -> Vocabulary:
+def vocabulary(docs: DataFrame, most: int = VOCABULARY, groups: int = GROUPS) -> Vocabulary:
     """The words above the least frequency that at most `most` words reach, and 2 or more."""
     counts = durable(word_counts(docs), "words")
     # whole counts up to 1023, sixteenths of a doubling above: under 2,000 rows whatever the corpus
@@ -275,21 +305,15 @@ def vocabulary(docs: DataFrame, most: int = VOCABULARY, width: int = WIDTH) -> V
         if x < 2 or taken > most:
             break
         least = x
+    rows = [] if least is None else counts.filter(level >= least).collect()  # `most` at most
     total = sum(tokens for _, tokens in held.values())
-    if least is None:
-        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), total, width)
-    rows = counts.filter(level >= least).collect()  # `most` at most
-    word, n = np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
-    order = np.lexsort((word, -n))
-    hashes, classes = word[order].view(np.uint64), np.arange(2, len(order) + 2)
-    by_hash = np.argsort(hashes)
-    return Vocabulary(hashes[by_hash], classes[by_hash], n[order], total, width)
+    return Vocabulary.of(np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64), total, groups)
 
 
 def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(the dense part's weights, counts of byte pairs) after one pass over all documents."""
     sc = docs.sparkSession.sparkContext
-    words = len(known.counts)
+    starts = known.starts()
     flat, pairs = Network.fresh(known).flat, np.zeros(_BYTES * _BYTES, np.int64)
     schema = "part long, seen long, weights binary, pairs binary"
     names = ["part", "seen", "weights", "pairs"]
@@ -298,7 +322,7 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
 
         def learn(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             start, vocabulary = model.value
-            own = Trainer(start, words, vocabulary.width)
+            own = Trainer(start, starts)
             for b in batches:
                 for _, _, w, h in _texts(b):
                     ids = vocabulary.ids(h)
@@ -370,7 +394,7 @@ def score(docs: DataFrame, flat: np.ndarray, pairs: np.ndarray, known: Vocabular
     spark = docs.sparkSession
     shards = partitions_for(spark, -(-known.total // shard_tokens))
     first_rare = 2 + int((known.counts * frequent > known.total).sum())  # of the classes, which fall by count
-    model = spark.sparkContext.broadcast((flat, spelling(pairs), known))
+    model, starts = spark.sparkContext.broadcast((flat, spelling(pairs), known)), known.starts()
     id_type = docs.schema["doc_id"].dataType
     member = [T.StructField("ids", T.ArrayType(id_type)), T.StructField("n", T.ArrayType(T.LongType())), T.StructField("sums", T.ArrayType(T.DoubleType()))]
     packed = [T.StructField("places", T.BinaryType()), T.StructField("values", T.BinaryType())]
@@ -379,7 +403,7 @@ def score(docs: DataFrame, flat: np.ndarray, pairs: np.ndarray, known: Vocabular
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, table, vocabulary = model.value
-        net = Network(weights, len(vocabulary.counts), vocabulary.width)
+        net = Network(weights, starts)
         number = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
 

@@ -412,7 +412,7 @@ def test_lm_scores_match_brute_force(spark, frequent):
     rows = small_corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     texts = [words(t) for _, t in rows]
-    known = lm_scoring.vocabulary(df, most=20, width=7)
+    known = lm_scoring.vocabulary(df, most=20, groups=4)
     seen = collections.Counter(w for t in texts for w in t)
     least = min(n for n in set(seen.values()) if n >= 2 and sum(m >= n for m in seen.values()) <= 20)
     own_hash = lambda w: int(_text.words(*_text.strings(pa.array([w]))).hashes()[0])
@@ -424,7 +424,9 @@ def test_lm_scores_match_brute_force(spark, frequent):
     for w in (w for t in texts for w in t if w not in classes):
         spelt.update(zip([256, *w.encode()], [*w.encode(), 256], strict=True))
     assert {divmod(i, 257): n for i, n in enumerate(pairs.tolist()) if n} == spelt
-    net = lm_scoring.Network(flat, len(ranked), 7)
+    net = lm_scoring.Network(flat, known.starts())
+    groups = [range(a + 2, b + 2) for a, b in zip(known.starts()[:-1], known.starts()[1:], strict=True)]
+    assert len(groups) > 2 and sum(map(len, groups)) == len(ranked)
     at = lambda t, i: t[i] if 0 <= i < len(t) else None
     cls = lambda w: 0 if w is None else classes.get(w, 1)
     between = collections.defaultdict(collections.Counter)
@@ -437,11 +439,11 @@ def test_lm_scores_match_brute_force(spark, frequent):
         for i, w in enumerate(t):
             hidden = np.tanh(net.bias + sum(net.embed[cls(at(t, i + s))] * net.scale[k] for k, s in enumerate((-2, -1, 1, 2))))
             logits = hidden @ net.group + net.group_bias
-            g = (classes[w] - 2) // 7 if w in classes else net.groups - 1
+            g = next((i for i, r in enumerate(groups) if cls(w) in r), net.groups - 1)
             p = np.exp(logits[g]) / np.exp(logits).sum()
             if w in classes:
-                logits = net.word[g * 7 : g * 7 + 7] @ hidden + net.word_bias[g * 7 : g * 7 + 7]
-                p *= np.exp(logits[classes[w] - 2 - g * 7]) / np.exp(logits).sum()
+                logits = {c: net.word[c - 2] @ hidden + net.word_bias[c - 2] for c in groups[g]}
+                p *= np.exp(logits[classes[w]]) / sum(map(np.exp, logits.values()))
             else:
                 for a, b in zip([256, *w.encode()], [*w.encode(), 256], strict=True):
                     p *= (spelt[a, b] + 0.5) / (sum(n for (x, _), n in spelt.items() if x == a) + 0.5 * 257)
@@ -468,21 +470,40 @@ def test_lm_learns_from_context():
     rng = np.random.default_rng(0)
     ids = rng.integers(2, 300, 4000)
     ids[1::2] = ids[::2] % 50 + 300  # each second word follows from the one before
-    known = lm_scoring.Vocabulary(np.arange(350, dtype=np.uint64), np.arange(2, 352), np.bincount(ids, minlength=352)[2:] + 1, len(ids))
+    known = lm_scoring.Vocabulary.of(np.arange(350), 1000 - np.arange(350), 350_000)
     start = lm_scoring.Network.fresh(known)
-    trainer = lm_scoring.Trainer(start.flat, 350)
+    trainer = lm_scoring.Trainer(start.flat, known.starts())
     context = lm_scoring.windows(ids, np.array([0, len(ids)]))
     assert context[:, 0].tolist() == [0, 0, ids[1], ids[2]] and context[:, -1].tolist() == [ids[-3], ids[-2], 0, 0]
     before = start.log_probabilities(ids, context)[1::2].mean()
     for _ in range(150):
         trainer.learn(ids, context)
     assert trainer.net.log_probabilities(ids, context)[1::2].mean() > before + 1
-    # the gradient, by differences
-    one = lm_scoring.Trainer(start.flat, 350)
-    one.learn(ids, context)
-    step = one.net.flat - start.flat
-    again = lm_scoring.Network((start.flat + 0.02 * step).astype(np.float32), 350)
-    assert again.log_probabilities(ids, context).mean() > start.log_probabilities(ids, context).mean()
+
+
+def test_lm_gradient():
+    """Each part's step goes along the derivative of the mean log-probability, by differences."""
+    rng = np.random.default_rng(0)
+    ids = rng.integers(1, 42, 300)
+    known = lm_scoring.Vocabulary.of(np.arange(40), 100 - np.arange(40), 4000, 5)
+    net = lm_scoring.Network.fresh(known)
+    context = lm_scoring.windows(ids, np.array([0, 200, 300]))
+    found = []
+
+    class Spy(lm_scoring.Trainer):
+        def _step(self, name, at, g, n):
+            found.append((name, at, g / n))
+
+    Spy(net.flat, known.starts()).learn(ids, context)
+    mean = lambda flat: lm_scoring.Network(flat, known.starts()).log_probabilities(ids, context).mean()
+    for name, at, g in found:
+        rows = getattr(lm_scoring.Network(np.arange(len(net.flat), dtype=np.float32), known.starts()), name)[at]
+        for _ in range(3):
+            k = rng.integers(rows.size)
+            up, down = net.flat.astype(np.float64), net.flat.astype(np.float64)
+            up[int(rows.ravel()[k])] += 1e-4
+            down[int(rows.ravel()[k])] -= 1e-4
+            assert math.isclose(-(mean(up) - mean(down)) / 2e-4, g.ravel()[k], rel_tol=0.02, abs_tol=2e-5), name
 
 
 def test_shards(spark, docs):
