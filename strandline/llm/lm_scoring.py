@@ -52,6 +52,8 @@ HIDDEN = 16
 ROUNDS = 2
 BATCH = 16_384
 RATE = 0.05
+#: Greatest output weight, by size: HIDDEN of them stay far below the exponential's limit.
+LARGEST = 4
 FAN = 16
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1 << 20
@@ -164,9 +166,8 @@ class Network:
 
 
 def _exponentials(x: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(x + bias), in place of x, and the reciprocals of its rows' sums."""
+    """exp(x + bias), in place of x, and the reciprocals of its rows' sums; LARGEST keeps them finite."""
     x += bias
-    np.minimum(x, 80, out=x)
     np.exp(x, out=x)
     return x, 1 / np.maximum(x @ np.ones(x.shape[1], np.float32), 1e-30)
 
@@ -192,23 +193,25 @@ class Trainer:
         squares[at] = s
         g /= np.sqrt(s)
         g *= RATE
-        weights[at] -= g
+        if name in ("word", "group"):
+            weights[at] = np.clip(weights[at] - g, -LARGEST, LARGEST)
+        else:
+            weights[at] -= g
 
     def _learn(self, ids: np.ndarray, context: np.ndarray) -> None:
         net, n, all_ = self.net, len(ids), slice(None)
         order = np.argsort(net.group_of[ids], kind="stable")
         ids, context = ids[order], context[:, order]
         hidden, e, share, within = net.forward(ids, context)
-        e *= share[:, None]
-        e[np.arange(n), net.group_of[ids]] -= 1
-        back = e @ net.group.T
-        steps = [("group", all_, hidden.T @ e), ("group_bias", all_, e.sum(0))]
+        # share scales the rows of e; it is put to what is multiplied with them, which is narrower
+        e[np.arange(n), net.group_of[ids]] -= 1 / share
+        back = (e @ net.group.T) * share[:, None]
+        steps = [("group", all_, (hidden * share[:, None]).T @ e), ("group_bias", all_, share @ e)]
         for rows, words, e, share in within:
-            e *= share[:, None]
-            e[np.arange(len(e)), ids[rows] - 2 - words.start] -= 1
-            back[rows] += e @ net.word[words]
-            self._step("word", words, e.T @ hidden[rows], n)
-            self._step("word_bias", words, np.ones(len(e), np.float32) @ e, n)
+            e[np.arange(len(e)), ids[rows] - 2 - words.start] -= 1 / share
+            back[rows] += (e @ net.word[words]) * share[:, None]
+            self._step("word", words, e.T @ (hidden[rows] * share[:, None]), n)
+            self._step("word_bias", words, share @ e, n)
         back *= 1 - hidden * hidden
         embed, scale, touched = np.zeros_like(net.embed), np.empty((2 * SIDE, HIDDEN), np.float32), np.zeros(net.words + 2, bool)
         for k in range(2 * SIDE):  # sums of back by class at this place
