@@ -277,8 +277,10 @@ def near_rows(n=40):
     return rows + [(n + i, prose(RNG.randint(1, 60))) for i in range(20)] + [(100, "..."), (101, "..."), (102, None), (103, ""), (104, rows[0][1].translate(UPPER))]
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_near_groups(spark, block):
+@pytest.mark.parametrize(("block", "few"), [(1024, 4096), (7, 4096), (7, 0)])
+def test_near_groups(spark, monkeypatch, block, few):
+    """few 0 has large buckets go by the prefix filter, else their askers are broadcast."""
+    monkeypatch.setattr(near_dedup, "FEW", few)
     rows = near_rows()
 
     def same(x, y):
