@@ -55,13 +55,14 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, size: str, how: st
     """rows joined with table, which has one row a key and in `size` the number of rows with that key.
 
     Keys with more than one in HEAVY of all rows are joined by a broadcast of their fewer than
-    HEAVY table rows, so that no task gets all rows of a hot key; the others by a shuffle. table
-    should be a written one: it is read three times.
+    HEAVY table rows, so that no task gets all rows of a hot key; the others by a merge, also where
+    table is small, so that the plan is the same at every size. table should be a written one: it is
+    read three times.
     """
     total = table.agg(F.sum(size)).first()[0] or 0
     heavy = F.broadcast(table.filter(F.col(size) * HEAVY > F.lit(total)))
     hot = rows.join(heavy, key)
-    rest = rows.join(heavy.select(key), key, "left_anti").join(table.filter(F.col(size) * HEAVY <= F.lit(total)), key, how)
+    rest = rows.join(heavy.select(key), key, "left_anti").join(table.filter(F.col(size) * HEAVY <= F.lit(total)).hint("merge"), key, how)
     return hot.unionByName(rest)
 
 
