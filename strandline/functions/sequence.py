@@ -53,10 +53,19 @@ def direction(seq: Column) -> Column:
     return F.when(seq.isNull(), None).when(first.isin(STARTS) | last.isin(STOPS), "forward").when(last.isin(REVERSE_STARTS) | first.isin(REVERSE_STOPS), "reverse").otherwise("Error")
 
 
+#: Whole codons from the beginning up to the first stop codon; one pass, without going back.
+_UNSTOPPED = r"^(?:(?!TAA|TAG|TGA)(?s:...))*+"
+
+
+def codons(seq: Column) -> Column:
+    """The whole codons of a sequence, in order."""
+    return F.regexp_extract_all(seq, F.lit("(?s)..."), F.lit(0))
+
+
 def first_stop(seq: Column) -> Column:
     """Index from 0 of the first in-frame stop codon; null if there is none."""
-    at = F.sequence(F.lit(0), F.greatest(F.length(seq) - 3, F.lit(0)), F.lit(3))
-    return F.get(F.filter(at, lambda i: F.substring(seq, i + 1, F.lit(3)).isin(STOPS)), F.lit(0))
+    before = F.length(F.regexp_extract(seq, _UNSTOPPED, 0))
+    return F.when(before + 3 <= F.length(seq), before)
 
 
 def quality_class(seq: Column) -> Column:
@@ -81,9 +90,8 @@ QUALITY_CLASSES = ["good_quality", "bad_quality: no_start", "bad_quality: no_sto
 
 def translate(seq: Column) -> Column:
     """Residues of all whole codons; X for codons with other letters."""
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.length(seq) - 2, F.lit(1)), F.lit(3)), lambda i: i <= F.length(seq) - 2)
     code = _map(CODONS)
-    return F.array_join(F.transform(at, lambda i: F.coalesce(F.try_element_at(code, F.substring(seq, i, F.lit(3))), F.lit("X"))), "")
+    return F.array_join(F.transform(codons(seq), lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X"))), "")
 
 
 def coding_protein(seq: Column) -> Column:

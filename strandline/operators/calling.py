@@ -13,6 +13,7 @@ from strandline.operators import hits as hitsf
 from strandline.operators.align import Search, similarity_join
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
+from strandline.storage import durable
 
 
 @dataclass(frozen=True)
@@ -128,20 +129,20 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
     cells = spine(samples, alleles).join(limits, "locus")
     cells = cells.join(n_first, ["sample", "locus"], "left").join(low, ["sample", "locus"], "left").join(facts, ["sample", "locus"], "left")
     cells = cells.fillna({"n_first": 0, "n_second": 0, "n_seeds": 0, "n_kept": 0}).withColumns({c: F.coalesce(c, F.lit(False)) for c in ("perfect", "covered", "on_edge", "plot")})
-    calls = numbered(decide(cells))
+    calls = numbered(durable(decide(cells), "calls"))
     allele = F.when(F.col("kind") == "LNF_LOW_ID", F.col("fallback_allele")).otherwise(F.col("hit.qseqid"))
     return calls.withColumn("allele", allele).withColumn("tag", tag_text(F.col("kind"), F.col("locus"), F.col("allele"), F.col("idx"))).drop("rows")
 
 
 def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
-    """Calls from sequences: two native searches and a fallback, then the decision list."""
+    """Calls from sequences: two native searches and a fallback, each written once to the shared folder, then the decision list."""
     limits = Search(identity=config.identity_ref, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps)
-    first = similarity_join(references, contigs, limits)
+    first = durable(similarity_join(references, contigs, limits), "first")
     tried = contigs.select("sample").distinct().crossJoin(references.select("locus").distinct())
     empty = tried.join(first.select("sample", "locus").distinct(), ["sample", "locus"], "left_anti")
     weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=4)
     fallback = similarity_join(references.join(empty.select("locus").distinct(), "locus", "left_semi"), contigs.join(empty.select("sample").distinct(), "sample", "left_semi"), weak)
-    fallback = fallback.join(empty, ["sample", "locus"], "left_semi")
+    fallback = durable(fallback.join(empty, ["sample", "locus"], "left_semi"), "fallback")
 
     low, high = F.least("sstart", "send"), F.greatest("sstart", "send")
     around = first.join(contigs, ["sample", "contig"]).select("sample", "locus", "contig", hitsf.flank(F.col("seq"), low, high, config.flank).alias("seq")).distinct()
@@ -149,7 +150,7 @@ def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame,
     fragments = around.withColumn("fragment", F.concat(number.cast("string"), F.lit("_"), "contig"))
     inner = Search(identity=config.identity_locus, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps)
     second = similarity_join(alleles, fragments.select("sample", "locus", F.col("fragment").alias("contig"), "seq"), inner, on=["locus"])
-    second = second.withColumn("contig", F.regexp_replace("contig", r"^\d+_", ""))
+    second = durable(second.withColumn("contig", F.regexp_replace("contig", r"^\d+_", "")), "second")
     return calls_from_hits(contigs.select("sample"), alleles, contigs, first, second, fallback, config)
 
 

@@ -2,44 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import residue, residue_class, translate, ungapped
 
 
-def _codon(seq: str, at: Column) -> Column:
-    return F.substring(seq, at, F.lit(3))
-
-
 def snps(pairs: DataFrame) -> DataFrame:
     """pairs(*keys, allele_seq, found_seq) to one row per difference.
 
     found_seq loses its gaps and is padded with '-' to the allele's length; what goes beyond is
     ignored. A pair's list ends with the first difference in a codon that holds a '-'. Rows have
     position (from 1), bases, codons, residues (allele/found), kind and classes; Synonymous means
-    the same residue class. Pairs with a null sequence have no rows.
+    the same residue class. Pairs with a null sequence have no rows. Sequences are cut into codons
+    and only codons that differ become rows, so the work grows with the length.
     """
     keys = [c for c in pairs.columns if c not in ("allele_seq", "found_seq")]
-    size = F.length("allele_seq")
-    found = ungapped(F.col("found_seq"))
-    rows = pairs.select(*keys, "allele_seq", F.rpad(found, size, "-").alias("padded"), (F.floor(F.length(found) / 3) * 3 + 1).cast("int").alias("open_from"))
-    differs = F.filter(F.sequence(F.lit(1), size), lambda i: F.substring("allele_seq", i, F.lit(1)) != F.substring("padded", i, F.lit(1)))
-    rows = rows.filter(size > 0).select(*keys, "allele_seq", "padded", "open_from", differs.alias("at"))
-    closed, open_ = F.filter("at", lambda i: i < F.col("open_from")), F.filter("at", lambda i: i >= F.col("open_from"))
-    short = F.endswith("padded", F.lit("-"))
-    rows = rows.select(*keys, "allele_seq", "padded", F.explode_outer(F.when(short, F.concat(closed, F.slice(open_, 1, 1))).otherwise(F.col("at"))).alias("position")).filter("position IS NOT NULL")
-    rows = rows.withColumn("start", (F.floor((F.col("position") - 1) / 3) * 3 + 1).cast("int"))
-    rows = rows.withColumns({"ours": _codon("allele_seq", F.col("start")), "theirs": _codon("padded", F.col("start"))})
-    broken = F.contains("theirs", F.lit("-"))
-    whole = lambda c: F.when(F.length(c) == 3, residue(F.col(c))).otherwise("")
-    rows = rows.withColumns({
-        "a": F.when(broken, translate(F.substring("allele_seq", F.col("start"), size))).otherwise(whole("ours")),
-        "b": F.when(broken, F.lit("-")).otherwise(whole("theirs")),
-    })
+    cut = lambda c: F.regexp_extract_all(c, F.lit("(?s).{1,3}"), F.lit(0))
+    padded = F.rpad(ungapped(F.col("found_seq")), F.length("allele_seq"), "-")
+    rows = pairs.select(*keys, "allele_seq", cut(F.col("allele_seq")).alias("ours"), cut(padded).alias("theirs"))
+    both = F.transform(F.arrays_zip("ours", "theirs"), lambda c, i: F.struct((i * 3 + 1).alias("start"), c["ours"].alias("ours"), c["theirs"].alias("theirs"), F.contains(c["theirs"], F.lit("-")).alias("broken")))
+    rows = rows.select(*keys, "allele_seq", F.filter(both, lambda c: c["ours"] != c["theirs"]).alias("at"))
+    whole, broken = F.filter("at", lambda c: ~c["broken"]), F.slice(F.filter("at", lambda c: c["broken"]), 1, 1)
+    rows = rows.select(*keys, whole.alias("whole"), broken.alias("broken"), translate(F.substring(F.col("allele_seq"), F.get(broken, F.lit(0))["start"], F.length("allele_seq"))).alias("tail"))
+    # outer: the planner would otherwise compute the codons a second time to test that there are any
+    rows = rows.select(*keys, "tail", F.explode_outer(F.concat("whole", "broken")).alias("c")).filter("c IS NOT NULL").select(*keys, "tail", "c.*")
+    places = F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.substring("ours", i, F.lit(1)) != F.substring("theirs", i, F.lit(1)))
+    rows = rows.withColumn("i", F.explode(F.when(F.col("broken"), F.slice(places, 1, 1)).otherwise(places)))
+    known = lambda c: F.when(F.length(c) == 3, residue(F.col(c))).otherwise("")
+    rows = rows.withColumns({"a": F.when(F.col("broken"), F.col("tail")).otherwise(known("ours")), "b": F.when(F.col("broken"), F.lit("-")).otherwise(known("theirs"))})
     rows = rows.withColumns({"ca": residue_class(F.substring("a", 1, 1)), "cb": residue_class(F.substring("b", 1, 1))})
-    base = lambda c: F.substring(c, F.col("position"), F.lit(1))
+    base = lambda c: F.substring(c, F.col("i"), F.lit(1))
     return rows.select(
-        *keys, "position", F.concat_ws("/", base("allele_seq"), base("padded")).alias("bases"), F.concat_ws("/", "ours", "theirs").alias("codons"), F.concat_ws("/", "a", "b").alias("residues"),
+        *keys, (F.col("start") + F.col("i") - 1).cast("int").alias("position"), F.concat_ws("/", base("ours"), base("theirs")).alias("bases"), F.concat_ws("/", "ours", "theirs").alias("codons"), F.concat_ws("/", "a", "b").alias("residues"),
         F.when(F.col("ca") == F.col("cb"), "Synonymous").when(F.col("b") == "*", "Nonsense").otherwise("Missense").alias("kind"), F.concat_ws(" / ", "ca", "cb").alias("classes"),
     )

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from strandline.functions import sequence as seqf
-from strandline.operators.calling import SUMMARY_CLASSES
-from strandline.plans.surrogates import BASES, LETTERS
+# Fixed values, written out here so that a wrong list in the library is seen.
+STARTS = ["ATG", "ATA", "ATT", "GTG", "TTG"]
+STOPS = ["TAA", "TAG", "TGA"]
+REVERSE_STARTS = ["CAT", "TAT", "AAT", "CAC", "CAA"]
+REVERSE_STOPS = ["TTA", "CTA", "TCA"]
+QUALITY_STARTS = ["ATG", "ATA", "ATT", "GTG", "TTG", "CTG"]
+QUALITY_REVERSE_STARTS = ["CAT", "TAT", "AAT", "CAC", "CAA", "CAG"]
+CODE_11_STARTS = ["TTG", "CTG", "ATT", "ATC", "ATA", "ATG", "GTG"]
+STANDARD_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+RESIDUE_CLASSES = {"polar": "STYQNC", "nonpolar": "FLIMPVAWG", "acidic": "DE", "basic": "HKR", "Stop codon": "*", "-----": "-"}
+QUALITY_CLASSES = ["good_quality", "bad_quality: no_start", "bad_quality: no_stop", "bad_quality: no_start_stop", "bad_quality: multiple_stop"]
+SUMMARY_CLASSES = ["Exact match", "INF", "ASM", "ALM", "LNF", "TPR", "NIPH", "NIPHEM", "PLOT", "ERROR"]
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -13,7 +22,7 @@ def _in(values: list[str]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-_DNA = f"translate(upper(substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, 300)), '{LETTERS}', '{BASES}')"
+_DNA = "translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC')"
 _SEQS = f"a AS (SELECT doc_id, lang AS locus, {_DNA} AS seq FROM documents)"
 
 
@@ -23,18 +32,18 @@ def _rc(x: str) -> str:
 
 def _direction(x: str) -> str:
     return (
-        f"CASE WHEN substr({x}, 1, 3) IN {_in(seqf.STARTS)} OR right({x}, 3) IN {_in(seqf.STOPS)} THEN 'forward' "
-        f"WHEN right({x}, 3) IN {_in(seqf.REVERSE_STARTS)} OR substr({x}, 1, 3) IN {_in(seqf.REVERSE_STOPS)} THEN 'reverse' ELSE 'Error' END"
+        f"CASE WHEN substr({x}, 1, 3) IN {_in(STARTS)} OR right({x}, 3) IN {_in(STOPS)} THEN 'forward' "
+        f"WHEN right({x}, 3) IN {_in(REVERSE_STARTS)} OR substr({x}, 1, 3) IN {_in(REVERSE_STOPS)} THEN 'reverse' ELSE 'Error' END"
     )
 
 
 def _first_stop(x: str) -> str:
-    return f"list_filter(range(0, greatest(length({x}) - 3, 0) + 1, 3), lambda i: substr({x}, i + 1, 3) IN {_in(seqf.STOPS)})[1]"
+    return f"list_filter(range(0, greatest(length({x}) - 3, 0) + 1, 3), lambda i: substr({x}, i + 1, 3) IN {_in(STOPS)})[1]"
 
 
 def _residue(codon: str) -> str:
     index = " + ".join(f"{16 // 4**k} * (strpos('TCAG', substr({codon}, {k + 1}, 1)) - 1)" for k in range(3))
-    return f"substr('{seqf.STANDARD_CODE}', CAST({index} + 1 AS BIGINT), 1)"
+    return f"substr('{STANDARD_CODE}', CAST({index} + 1 AS BIGINT), 1)"
 
 
 def _protein(x: str) -> str:
@@ -44,13 +53,13 @@ def _protein(x: str) -> str:
 _ORIENTED = f"o AS (SELECT *, CASE WHEN {_direction('seq')} = 'reverse' THEN {_rc('seq')} ELSE seq END AS turned FROM a)"
 _STOPPED = f"s AS (SELECT *, {_first_stop('turned')} AS stop FROM o)"
 _QUALITY = (
-    f"CASE WHEN (substr(seq, 1, 3) IN {_in(seqf.QUALITY_STARTS)} OR right(seq, 3) IN {_in(seqf.QUALITY_REVERSE_STARTS)}) "
-    f"AND (right(seq, 3) IN {_in(seqf.STOPS)} OR substr(seq, 1, 3) IN {_in(seqf.REVERSE_STOPS)}) "
+    f"CASE WHEN (substr(seq, 1, 3) IN {_in(QUALITY_STARTS)} OR right(seq, 3) IN {_in(QUALITY_REVERSE_STARTS)}) "
+    f"AND (right(seq, 3) IN {_in(STOPS)} OR substr(seq, 1, 3) IN {_in(REVERSE_STOPS)}) "
     "THEN CASE WHEN stop IS NULL OR stop < length(turned) - 3 THEN 'bad_quality: multiple_stop' ELSE 'good_quality' END "
-    f"WHEN substr(seq, 1, 3) IN {_in(seqf.QUALITY_STARTS)} OR right(seq, 3) IN {_in(seqf.QUALITY_REVERSE_STARTS)} THEN 'bad_quality: no_stop' "
-    f"WHEN right(seq, 3) IN {_in(seqf.STOPS)} OR substr(seq, 1, 3) IN {_in(seqf.REVERSE_STOPS)} THEN 'bad_quality: no_start' ELSE 'bad_quality: no_start_stop' END"
+    f"WHEN substr(seq, 1, 3) IN {_in(QUALITY_STARTS)} OR right(seq, 3) IN {_in(QUALITY_REVERSE_STARTS)} THEN 'bad_quality: no_stop' "
+    f"WHEN right(seq, 3) IN {_in(STOPS)} OR substr(seq, 1, 3) IN {_in(REVERSE_STOPS)} THEN 'bad_quality: no_start' ELSE 'bad_quality: no_start_stop' END"
 )
-_CODING = f"CASE WHEN length(turned) % 3 = 0 AND substr(turned, 1, 3) IN {_in(seqf.CODE_11_STARTS)} AND stop = length(turned) - 3 THEN 'M' || {_protein('substr(turned, 4, length(turned) - 6)')} ELSE '-' END"
+_CODING = f"CASE WHEN length(turned) % 3 = 0 AND substr(turned, 1, 3) IN {_in(CODE_11_STARTS)} AND stop = length(turned) - 3 THEN 'M' || {_protein('substr(turned, 4, length(turned) - 6)')} ELSE '-' END"
 _SEQ_ALL = f"WITH {_SEQS}, {_ORIENTED}, {_STOPPED}"
 
 _CALLS = """
@@ -133,13 +142,13 @@ ORACLE_SQL["translate_protein"] = f"WITH {_SEQS} SELECT doc_id, {_protein('seq')
 ORACLE_SQL["cds_check"] = f"{_SEQ_ALL} SELECT doc_id, {_CODING} AS protein FROM s"
 ORACLE_SQL["quality_counts"] = (
     f"{_SEQ_ALL}, q AS (SELECT locus, {_QUALITY} AS quality FROM s) SELECT locus, "
-    + ", ".join(f"count(*) FILTER (WHERE quality = '{c}') AS {c.replace('bad_quality: ', '')}" for c in seqf.QUALITY_CLASSES)
+    + ", ".join(f"count(*) FILTER (WHERE quality = '{c}') AS {c.replace('bad_quality: ', '')}" for c in QUALITY_CLASSES)
     + ", count(*) AS total FROM q GROUP BY locus"
 )
 
 
 def _class(x: str) -> str:
-    whens = " ".join(f"WHEN contains('{rs}', {x}) AND {x} <> '' THEN '{c}'" for c, rs in seqf.RESIDUE_CLASSES.items())
+    whens = " ".join(f"WHEN contains('{rs}', {x}) AND {x} <> '' THEN '{c}'" for c, rs in RESIDUE_CLASSES.items())
     return f"CASE {whens} ELSE 'unknown' END"
 
 
@@ -166,7 +175,7 @@ ORACLE_SQL["overlap_dedupe"] = f"""WITH {_HITS},
 f AS (SELECT sample, list_reduce(list([{{'contig': contig, 'line_no': line_no, 's': hit_start, 'e': hit_end, 'b': bitscore}}] ORDER BY {_ORDER}),
   lambda k, x: CASE WHEN len(list_filter(k, lambda y: y.contig = x[1].contig AND (x[1].s BETWEEN least(y.s, y.e) AND greatest(y.s, y.e) OR x[1].e BETWEEN least(y.s, y.e) AND greatest(y.s, y.e)))) > 0 THEN k ELSE list_concat(k, x) END) AS kept FROM h GROUP BY sample)
 SELECT sample, u.contig AS contig, u.line_no AS line_no, u.s AS hit_start, u.e AS hit_end, u.b AS bitscore FROM (SELECT sample, unnest(kept) AS u FROM f)"""
-_FOUND = """p AS (SELECT doc_id, item_id, d.text AS text, b.text AS passage, strpos(d.text, b.text) AS pos_ FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE length(b.text) >= 24)"""
+_FOUND = """p AS (SELECT doc_id, item_id, d.text AS text, b.text AS passage, strpos(d.text, b.text) AS pos_ FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE length(b.text) > 0)"""
 ORACLE_SQL["hit_relocate"] = f"WITH {_FOUND} SELECT doc_id, item_id, CAST(pos_ AS BIGINT) AS hit_start, CAST(pos_ + length(passage) - 1 AS BIGINT) AS hit_end FROM p"
 ORACLE_SQL["flank_extract"] = f"WITH {_FOUND} SELECT doc_id, item_id, substr(text, greatest(pos_ - 20, 1), least(pos_ + length(passage) - 1 + 20, length(text)) - greatest(pos_ - 20, 1) + 1) AS flanked FROM p"
 _EDGE = "(hit_start = 1 OR hit_end = 1 OR hit_start = 365 OR hit_end = 365)"
@@ -191,13 +200,13 @@ pr AS (SELECT min(p_partkey) AS st, p_brand, p_type FROM part GROUP BY p_brand,
 c AS (SELECT p_partkey AS sample, p_brand, CASE WHEN p_size <> 13 THEN p_type END AS p_type FROM part)"""
 ORACLE_SQL["profile_match"] = f"WITH {_TYPES} SELECT c.sample, CAST(min(pr.st) AS VARCHAR) AS st FROM c LEFT JOIN pr ON c.p_brand = pr.p_brand AND c.p_type = pr.p_type GROUP BY c.sample"
 ORACLE_SQL["type_assignment"] = f"""WITH {_TYPES},
-kn AS (SELECT * FROM pr WHERE st % 3 <> 0),
+kn AS (SELECT * FROM pr WHERE st IN (SELECT p_partkey FROM part WHERE p_retailprice < (SELECT avg(p_retailprice) FROM part))),
 m AS (SELECT c.*, kn.st FROM c LEFT JOIN kn ON c.p_brand = kn.p_brand AND c.p_type = kn.p_type),
 nw AS (SELECT p_brand, p_type, CAST((SELECT count(*) FROM kn) + row_number() OVER (ORDER BY min(sample)) AS VARCHAR) || '_INF' AS st FROM m WHERE st IS NULL AND p_type IS NOT NULL GROUP BY p_brand, p_type)
 SELECT m.sample, coalesce(CAST(m.st AS VARCHAR), nw.st, '-') AS st, CASE WHEN m.st IS NOT NULL THEN 'Known' WHEN nw.st IS NOT NULL THEN 'New' ELSE 'Unknown' END AS status
 FROM m LEFT JOIN nw ON m.p_brand = nw.p_brand AND m.p_type = nw.p_type"""
 _WORDS = f"""
-b AS (SELECT CAST(doc_id % 997 AS VARCHAR) AS locus, CAST(doc_id AS VARCHAR) AS id, doc_id AS ord, {_DNA} AS seq FROM documents),
+b AS (SELECT source AS locus, CAST(doc_id AS VARCHAR) AS id, doc_id AS ord, {_DNA} AS seq FROM documents),
 w AS (SELECT locus, id, ord, seq, list_distinct(list_transform(range(1, greatest(length(seq) - 21 + 2, 1)), lambda i: least(substr(seq, i, 21), {_rc('substr(seq, i, 21)')}))) AS ws FROM b),
 pj AS (SELECT x.locus, x.id AS id_1, y.id AS id_2, len(list_intersect(x.ws, y.ws)) AS both_, len(x.ws) AS n1, len(y.ws) AS n2 FROM w x JOIN w y ON x.locus = y.locus),
 pd AS (SELECT locus, id_1, id_2, round(CASE WHEN id_1 = id_2 THEN 0.0 WHEN both_ = 0 THEN 1.0 ELSE greatest(0.0, -1.0 / 21 * ln(2 * (both_ / (n1 + n2 - both_)) / (1 + both_ / (n1 + n2 - both_)))) END, 6) AS distance FROM pj)"""

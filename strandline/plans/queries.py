@@ -146,12 +146,29 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.quality_counts(s.dna_alleles(spark, sf_dir))
 
 
+def _with_next(a: DataFrame, parts: int = 64) -> DataFrame:
+    """alleles with found, the sequence of the next ord in the locus.
+
+    Only ids are ordered: in ranges of ord within each locus, then the ranges' first ids. Sequences
+    move by equi-joins, so a language with most documents is no single task.
+    """
+    ids = a.select("locus", "ord")
+    cuts = sorted(set(ids.approxQuantile("ord", [i / parts for i in range(1, parts)], 0.001)))
+    range_ = F.size(F.filter(F.lit(cuts), lambda c: c < F.col("ord"))) if cuts else F.lit(0)
+    ids = ids.withColumn("range", range_)
+    heads = ids.groupBy("locus", "range").agg(F.min("ord").alias("head"))
+    heads = heads.withColumn("next_head", F.lead("head").over(Window.partitionBy("locus").orderBy("range"))).drop("head")  # at most `parts` rows a locus
+    ids = ids.withColumn("next", F.lead("ord").over(Window.partitionBy("locus", "range").orderBy("ord"))).join(heads, ["locus", "range"])
+    ids = ids.select("locus", "ord", F.coalesce("next", "next_head").alias("next")).filter("next IS NOT NULL")
+    following = a.select("locus", F.col("ord").alias("next"), F.col("seq").alias("found")).filter("found IS NOT NULL")
+    return a.join(ids, ["locus", "ord"]).join(following, ["locus", "next"])
+
+
 @query
 def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's DNA against that of the next one in its language."""
     a = s.dna_alleles(spark, sf_dir)
-    pairs = a.select("locus", "ord", "seq", F.lead("seq").over(Window.partitionBy("locus").orderBy("ord")).alias("found")).filter("found IS NOT NULL")
-    out = snps.snps(pairs.select(F.col("ord").alias("doc_id"), F.col("seq").alias("allele_seq"), F.col("found").alias("found_seq")))
+    out = snps.snps(_with_next(a).select(F.col("ord").alias("doc_id"), F.col("seq").alias("allele_seq"), F.col("found").alias("found_seq")))
     return out.withColumn("position", F.col("position").cast("long"))
 
 
@@ -180,14 +197,12 @@ def overlap_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text, item_id, passage, at): benchmark passages in documents, met by their first four words."""
+    """(doc_id, text, item_id, passage, at): benchmark passages in documents, of any length and at any place."""
     d, b = s.table(spark, sf_dir, "documents").select("doc_id", "text"), s.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
-    words = lambda c: F.split(c, r"[ \n]")
-    heads = b.select("item_id", "passage", F.concat_ws(" ", F.slice(words("passage"), 1, 4)).alias("head"))
-    starts = d.select("doc_id", words("text").alias("w")).select("doc_id", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
-    starts = starts.select("doc_id", F.concat_ws(" ", *[F.get("w", F.col("i") + k) for k in range(-1, 3)]).alias("head"))
-    met = starts.join(heads, "head").select("doc_id", "item_id", "passage").distinct()
-    return met.join(d, "doc_id").withColumn("at", hits.located(F.col("text"), F.col("passage"))).filter("at IS NOT NULL").select("doc_id", "text", "item_id", "passage", "at")
+    texts = d.select(F.lit("all").alias("locus"), F.concat(F.lit("d"), F.col("doc_id")).alias("allele_id"), F.col("text").alias("seq"))
+    items = b.select(F.lit("all").alias("locus"), F.concat(F.lit("i"), F.col("item_id")).alias("allele_id"), F.col("passage").alias("seq"))
+    met = schema.contained_in(items, texts).select(F.substr("container", F.lit(2)).cast("long").alias("doc_id"), F.substr("contained", F.lit(2)).cast("long").alias("item_id"))
+    return met.join(d, "doc_id").join(b, "item_id").withColumn("at", hits.located(F.col("text"), F.col("passage"))).select("doc_id", "text", "item_id", "passage", "at")
 
 
 @query
@@ -245,9 +260,12 @@ def profile_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def type_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of the parts below the median key only, so that types are known, new and unknown."""
+    """Profiles are known whose first part costs less than the mean, so that types are known, new and unknown."""
     samples = s.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sample"))
-    return typing.assign_types(samples, s.part_calls(spark, sf_dir), s.part_profiles(spark, sf_dir).filter("st_ord % 3 <> 0"))
+    part = s.table(spark, sf_dir, "part")
+    mean = part.agg(F.avg("p_retailprice").alias("mean"))
+    cheap = part.crossJoin(F.broadcast(mean)).filter("p_retailprice < mean").select(F.col("p_partkey").alias("st_ord"))
+    return typing.assign_types(samples, s.part_calls(spark, sf_dir), s.part_profiles(spark, sf_dir).join(cheap, "st_ord", "left_semi"))
 
 
 def _source_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,8 +297,7 @@ def unrepresented(spark: SparkSession, sf_dir: str) -> DataFrame:
 def local_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's DNA with that of the next one in its language."""
     a = s.dna_alleles(spark, sf_dir)
-    pairs = a.select(F.col("ord").alias("id"), F.col("seq").alias("a"), F.lead("seq").over(Window.partitionBy("locus").orderBy("ord")).alias("b")).filter("b IS NOT NULL")
-    return align.local_alignments(pairs)
+    return align.local_alignments(_with_next(a).select(F.col("ord").alias("id"), F.col("seq").alias("a"), F.col("found").alias("b")))
 
 
 @query
