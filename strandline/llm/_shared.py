@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.llm import _text
 from strandline.storage import clear_scratch, durable, remove, scratch_dir, shared_folder, written  # noqa: F401
 
 #: A key with more than one in HEAVY of all rows is heavy; there are fewer than HEAVY of them.
@@ -37,6 +38,7 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in at], *fn(b)], names=names)
+        _text.release()
 
     return df.mapInArrow(run, T.StructType(kept + fields))
 
@@ -47,6 +49,7 @@ def keep_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.Array]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(fn(b))
+        _text.release()
 
     return df.mapInArrow(run, df.schema)
 

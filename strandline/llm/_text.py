@@ -6,6 +6,7 @@ In UTF-8 these are exactly the bytes 0-9, a-z and 0x80-0xFF, so words are found
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +41,16 @@ def _power(base: int, n: int) -> np.ndarray:
     return have
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker process serves the tasks of many operators, one after another."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(30))

@@ -32,14 +32,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 DEFAULT = "byte_bpe_50k.json"
 #: Bytes of text whose units are looked up, and new ones encoded, together.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 #: Code points from which a unit is cut further, and up to which it is remembered.
 PART = 1 << 16
 REMEMBERED = 48
 #: Units that are encoded in one text.
 TOGETHER = 4096
 #: Units in each of the two generations that a worker process remembers.
-MOST_UNITS = 1 << 18
+MOST_UNITS = 1 << 17
 
 #: A space that is no safe place: white space (or nothing) after it and white space before it.
 _UNSAFE = re.compile(r"\s (?=\s|\Z)")

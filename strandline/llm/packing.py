@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm import _tokens
+from strandline.llm import _text, _tokens
 from strandline.llm._shared import scratch_dir
 
 LENGTH = 1024
@@ -65,6 +65,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) ->
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names=list(out))
+        _text.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)
 

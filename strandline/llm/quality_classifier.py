@@ -206,6 +206,7 @@ def _sums(rows: DataFrame, fn: Callable[[np.ndarray, int], np.ndarray]) -> np.nd
                 add()
         if n:
             add()
+        _text.release()
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([total.astype(np.float64).tobytes()], pa.binary())], names=["part", "total"])
 

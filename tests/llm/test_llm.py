@@ -674,18 +674,50 @@ def test_class_prior():
 
 
 def test_pipeline_stages(spark, docs, benchmark, tmp_path):
+    """Each stage on what the one before kept, against brute force; the classifier against its own scores."""
     folder = f"file://{tmp_path}"
     docs.drop("shard", "n_words").write.parquet(f"{folder}/documents.parquet")
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     step = spark.read.parquet(f"{folder}/documents.parquet")
-    columns = step.columns
-    for name, stage in corpus_pipeline.STAGES:
-        step = stage(spark, step, folder)
-        if name != "packed":
-            assert step.columns == columns
-    rows = sorted(map(tuple, step.select("doc_id", "piece", "start", "length", "ids_crc32").collect()), key=str)
-    assert rows == sorted(map(tuple, corpus_pipeline.run(spark, folder).select("doc_id", "piece", "start", "length", "ids_crc32").collect()), key=str)
-    ids = {r[0] for r in rows}
-    # copies, near-copies and leaks go (3, 12 and 14 hold benchmark items); everything else stays
-    assert ids == {0, 4, 6, 8, 9, 10, 11, 13, 15, None}
+    columns, kept = step.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = f"{folder}/{name}"
+        stage(spark, step, folder).write.parquet(path)
+        step = spark.read.parquet(path)
+        assert step.columns == columns
+        kept[name] = [(r.doc_id, r.text, r.n_chars) for r in step.collect()]
+    before = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(map(str, ((d, t) for d, t, _ in kept["quality"]))) == sorted(map(str, before))  # without labels every score is 0.5
+
+    own = {i: (-1 if d is None else d, t) for i, (d, t) in enumerate(before)}
+    want = brute_lines([(d + i / 100, t) for i, (d, t) in own.items()])
+    assert sorted((str(t), n) for _, t, n in kept["lines"]) == sorted((want[d + i / 100][2], len(want[d + i / 100][2])) for i, (d, t) in own.items())
+
+    rows = list(enumerate((d, t) for d, t, _ in kept["lines"]))
+    same = lambda x, y: word_similarity(words(x[1]), words(y[1])) >= 0.8 - 1e-9 if words(x[1]) and words(y[1]) else not words(x[1]) and not words(y[1]) and (x[1] or "") == (y[1] or "")
+    short = [(i, r) for i, r in rows if len(words(r[1])) < 1000]  # the only long text is like no other
+    groups = brute_groups(short, same)
+    firsts = collections.defaultdict(list)
+    for i, r in short:
+        firsts[groups[i]].append(r[0])
+    least = [min((d for d in g if d is not None), default=None) for g in firsts.values()] + [r[0] for _, r in rows if len(words(r[1])) >= 1000]
+    assert sorted(map(str, least)) == sorted(str(d) for d, _, _ in kept["near_duplicates"])
+
+    windows_ = set()
+    for r in benchmark.collect():
+        w = words(r.text)
+        k = min(10, len(w))
+        windows_ |= {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set()
+    leaks = lambda t: any(tuple(w[i : i + k]) in windows_ for w in [words(t)] for k in {len(x) for x in windows_} for i in range(len(w) - k + 1))
+    assert sorted(map(str, kept["leaks"])) == sorted(str(r) for r in kept["near_duplicates"] if not leaks(r[1]))
+
+    path = _tokens.tokenizer_path()
+    pieces = collections.Counter()
+    for d, t, _ in kept["leaks"]:
+        ids = [*_tokens.tokenizer(path).encode(t or "", add_special_tokens=False).ids, 2]
+        for k, (start, n) in enumerate(packing.cut(len(ids), 1024)):
+            pieces[d, k, start, n, zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())] += 1
+    packed = corpus_pipeline.run(spark, folder).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert collections.Counter(map(tuple, packed)) == pieces
+    assert {r.doc_id for r in packed} == {0, 4, 6, 8, 9, 10, 11, 13, 15, None}
