@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from strandline.functions import sequence as seqf
 from strandline.operators import hits as hitsf
-from strandline.operators.align import Search, similarity_join
+from strandline.operators.align import Scoring, Search, local_alignments, similarity_join
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
 from strandline.storage import durable
@@ -29,6 +29,19 @@ class CallConfig:
     max_targets: int = 10
     max_hsps: int = 10
     flank: int = 100
+    reward: int = 1
+    penalty: int = -2
+    gap_open: int = 1
+    gap_extend: int = 1
+
+    @property
+    def search_scoring(self) -> Scoring:
+        return Scoring(self.reward, self.penalty, self.gap_open, self.gap_extend)
+
+    @property
+    def call_scoring(self) -> Scoring:
+        """Scores of the alignments reported with calls."""
+        return Scoring(self.reward, self.penalty, self.gap_open, self.gap_extend, opens_first=True)
 
 
 def thresholds(alleles: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
@@ -113,7 +126,7 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
         "edge": hitsf.on_contig_edge(F.col("cstart"), F.col("cend"), F.length("contig_seq")),
         "final_seq": seqf.final_sequence(F.col("contig_seq"), F.col("cstart"), F.col("cend")),
     })
-    row = F.struct(F.col("line_no").alias("o"), "contig", "cstart", "cend", "qseqid", "pident", "length", "bitscore", "sseq", "allele_len", "found_len", "is_perfect", "in_length", "in_cover", "edge", "final_seq")
+    row = F.struct(F.col("line_no").alias("o"), "contig", "cstart", "cend", "qseqid", "pident", "length", "mismatch", "gapopen", "bitscore", "sseq", "allele_len", "found_len", "is_perfect", "in_length", "in_cover", "edge", "final_seq")
     per = found.groupBy("sample", "locus").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     ranked = F.array_sort("rows", lambda a, b: F.when(a["bitscore"] != b["bitscore"], F.when(a["bitscore"] > b["bitscore"], -1).otherwise(1)).otherwise(F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)))
     per = per.withColumn("perfect_rows", F.filter("rows", lambda r: r["is_perfect"])).withColumn("ranked", ranked)
@@ -136,11 +149,11 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
 
 def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
     """Calls from sequences: two native searches and a fallback, each written once to the shared folder, then the decision list."""
-    limits = Search(identity=config.identity_ref, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps)
+    limits = Search(identity=config.identity_ref, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps, scoring=config.search_scoring)
     first = durable(similarity_join(references, contigs, limits), "first")
     tried = contigs.select("sample").distinct().crossJoin(references.select("locus").distinct())
     empty = tried.join(first.select("sample", "locus").distinct(), ["sample", "locus"], "left_anti")
-    weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=4)
+    weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=4, scoring=config.search_scoring)
     fallback = similarity_join(references.join(empty.select("locus").distinct(), "locus", "left_semi"), contigs.join(empty.select("sample").distinct(), "sample", "left_semi"), weak)
     fallback = durable(fallback.join(empty, ["sample", "locus"], "left_semi"), "fallback")
 
@@ -148,7 +161,7 @@ def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame,
     around = first.join(contigs, ["sample", "contig"]).select("sample", "locus", "contig", hitsf.flank(F.col("seq"), low, high, config.flank).alias("seq")).distinct()
     number = F.row_number().over(Window.partitionBy("sample", "locus").orderBy("contig", "seq"))
     fragments = around.withColumn("fragment", F.concat(number.cast("string"), F.lit("_"), "contig"))
-    inner = Search(identity=config.identity_locus, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps)
+    inner = Search(identity=config.identity_locus, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps, scoring=config.search_scoring)
     second = similarity_join(alleles, fragments.select("sample", "locus", F.col("fragment").alias("contig"), "seq"), inner, on=["locus"])
     second = durable(second.withColumn("contig", F.regexp_replace("contig", r"^\d+_", "")), "second")
     return calls_from_hits(contigs.select("sample"), alleles, contigs, first, second, fallback, config)
@@ -195,16 +208,22 @@ def updated_schema(alleles: DataFrame, calls: DataFrame) -> DataFrame:
     return alleles.unionByName(new_alleles(calls, alleles), allowMissingColumns=True)
 
 
-def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFrame | None = None) -> DataFrame:
+def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFrame | None = None, genes: DataFrame | None = None) -> DataFrame:
     """Rows of one report: exact, paralog, inferred, asm, alm, plot or lnf_tpr.
 
     quality(locus, allele_id, quality); annotation(locus, gene, product) fills the annotation columns.
+    With genes(sample, contig, gene_start, gene_end, gene_seq) all but lnf_tpr get predicted_sequence.
     """
     kinds = {"exact": ["EXACT"], "paralog": ["NIPH", "NIPHEM"], "inferred": ["INF"], "asm": ["ASM"], "alm": ["ALM"], "plot": ["PLOT"], "lnf_tpr": ["LNF", "LNF_LOW_ID", "LNF_LOW_COVERAGE", "TPR"]}[kind]
     rows = calls.filter(F.col("kind").isin(kinds))
     hit = F.explode("kept") if kind == "paralog" else F.col("hit")
     rows = rows.withColumn("h", hit).withColumn("allele", F.col("h.qseqid") if kind == "paralog" else F.col("allele"))
     rows = rows.join(quality.withColumnRenamed("allele_id", "allele"), ["locus", "allele"], "left")
+    predicted = []
+    if genes is not None and kind != "lnf_tpr":
+        placed = rows.withColumns({"contig": F.col("h.contig"), "cstart": F.col("h.cstart"), "cend": F.col("h.cend")})
+        rows = hitsf.predicted_gene(placed, genes).drop("contig", "cstart", "cend", "predicted_start", "predicted_end")
+        predicted = [F.col("predicted_seq").alias("predicted_sequence")]
     missing = F.lit("Not found")
     if annotation is not None:
         rows = rows.join(annotation, "locus", "left")
@@ -214,9 +233,9 @@ def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFram
     place = [F.col("h.contig").alias("contig"), F.col("h.bitscore").alias("bitscore"), F.col("h.cstart").alias("contig_start"), F.col("h.cend").alias("contig_end")]
     found = seqf.ungapped(F.col("h.sseq"))
     if kind in ("exact", "plot"):
-        return rows.select(*base, *place, F.col("h.length").alias("query_length"), found.alias("sequence"))
+        return rows.select(*base, *place, F.col("h.length").alias("query_length"), found.alias("sequence"), *predicted)
     if kind == "paralog":
-        return rows.select(*base, F.col("h.pident").alias("identity"), *place, found.alias("sequence"))
+        return rows.select(*base, F.col("h.pident").alias("identity"), *place, found.alias("sequence"), *predicted)
     if kind == "lnf_tpr":
         blast = F.col("h.found_len") * 100.0 / F.col("locus_mean")
         new = F.col("final_len") * 100.0 / F.col("h.allele_len")
@@ -226,9 +245,9 @@ def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFram
             .when(F.col("kind") == "LNF_LOW_COVERAGE", F.concat(F.lit("hit coverage "), side(blast), F.lit(" threshold"))).otherwise(F.concat(F.lit("new sequence coverage "), side(new), F.lit(" threshold")))
         )
         return rows.select(*base, F.coalesce("fallback_pident", "h.pident").alias("identity"), blast.alias("hit_coverage"), new.alias("new_coverage"), F.col("h.allele_len").alias("query_length"), "final_len", info.alias("info"))
-    more = [F.col("h.allele_len").alias("query_length"), F.col("h.found_len").alias("contig_length"), F.col("final_len").alias("new_length"), F.col("final_seq").alias("new_sequence")]
+    more = [F.col("h.allele_len").alias("query_length"), F.col("h.found_len").alias("contig_length"), F.col("final_len").alias("new_length"), F.col("h.mismatch").alias("mismatch"), F.col("h.gapopen").alias("gaps"), F.col("final_seq").alias("new_sequence")]
     effect = [seqf.mutation_effect(F.col("h.found_len"), F.col("h.allele_len"), F.col("kind")).alias("info")] if kind in ("asm", "alm") else []
-    return rows.select(*base, *place, *more, *effect)
+    return rows.select(*base, *place, *more, *effect, *predicted)
 
 
 def matching_contigs(calls: DataFrame) -> DataFrame:
@@ -252,3 +271,24 @@ def snp_rows(calls: DataFrame, alleles: DataFrame) -> DataFrame:
     found = seqf.ungapped(F.col("hit.sseq"))
     theirs = F.when(turned, seqf.reverse_complement(found)).otherwise(found)
     return snps(rows.select("locus", "sample", "allele", ours.alias("allele_seq"), theirs.alias("found_seq")))
+
+
+def alignment_rows(calls: DataFrame, alleles: DataFrame, config: CallConfig = CallConfig(), protein: bool = False) -> DataFrame:
+    """The new sequence of each INF, ASM or ALM call aligned with its allele: (locus, sample, allele, row, sequence).
+
+    row is sample, match or schema. A reverse allele is turned, as in snp_rows; the new sequence is
+    taken as called. With protein both are translated before, whole codons only.
+    """
+    a = alleles.select("locus", F.col("allele_id").alias("allele"), F.col("seq").alias("allele_seq"))
+    rows = calls.filter(F.col("kind").isin("INF", "ASM", "ALM")).join(a, ["locus", "allele"])
+    ours = F.when(seqf.direction(F.col("allele_seq")) == "reverse", seqf.reverse_complement(F.col("allele_seq"))).otherwise(F.col("allele_seq"))
+    text = seqf.translate if protein else lambda c: c
+    id_ = F.struct("locus", "sample", "allele").alias("id")
+    found = local_alignments(rows.select(id_, text(F.col("final_seq")).alias("a"), text(ours).alias("b")), config.call_scoring)
+    named = [F.struct(F.lit(n).alias("row"), F.col(c).alias("sequence")) for n, c in (("sample", "row_a"), ("match", "row_middle"), ("schema", "row_b"))]
+    return found.select("id.*", F.explode(F.array(*named)).alias("r")).select("locus", "sample", "allele", "r.*")
+
+
+def protein_rows(calls: DataFrame, alleles: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
+    """alignment_rows of the proteins."""
+    return alignment_rows(calls, alleles, config, protein=True)

@@ -145,6 +145,22 @@ def test_calls_end_to_end(spark, genomes):
     assert calling.report(calls, "exact", quality).filter("quality = 'good_quality'").count() >= 2
     assert calling.matching_contigs(calls).filter("sample = 'reverse'").first().direction == "-"
     assert calling.snp_rows(calls, alleles).filter("sample = 'inferred'").count() == 1
+    inferred = calling.report(calls, "inferred", quality).filter("sample = 'inferred'").first()
+    assert (inferred.mismatch, inferred.gaps) == (1, 0)
+    seqs = {r.sample: r.seq for r in contigs.collect()}
+    genes = spark.createDataFrame([("inferred", "c0", 310, 400, "part"), ("inferred", "c0", 301, 486, "whole"), ("inferred", "c0", 600, 700, "far")], "sample string, contig string, gene_start int, gene_end int, gene_seq string")
+    assert calling.report(calls, "inferred", quality, genes=genes).filter("sample = 'inferred'").first().predicted_sequence == "whole"
+    assert "not found" in calling.report(calls, "exact", quality, genes=genes).filter("sample = 'exact'").first().predicted_sequence
+    for kind in ("exact", "paralog", "inferred", "asm", "alm", "plot"):
+        assert calling.report(calls, kind, quality, genes=genes).count() == calling.report(calls, kind, quality).count()
+    own = {r.allele_id: r.seq for r in alleles.collect()}
+    dna = {r.row: r for r in calling.alignment_rows(calls, alleles, config).filter("sample = 'inferred'").collect()}
+    assert dna["sample"].sequence == seqs["inferred"][300:486] and dna["schema"].sequence == own[dna["schema"].allele]
+    assert dna["match"].sequence.count(".") == 1 and len(dna["match"].sequence) == 186
+    protein = {r.row: r.sequence for r in calling.protein_rows(calls, alleles, config).filter("sample = 'inferred'").collect()}
+    assert set(protein) == {"sample", "match", "schema"} and protein["sample"].startswith("M") and len(protein["sample"]) == 62
+    dear = calling.CallConfig(reward=2, penalty=-3, gap_open=5, gap_extend=2)
+    assert (dear.search_scoring.first, dear.call_scoring.first) == (7, 5)
     summed = {r.sample: r for r in calling.summary(calls).collect()}
     assert summed["absent"]["LNF"] == 1 and summed["exact"]["Exact match"] == 1
     calls.unpersist()
