@@ -215,3 +215,27 @@ ORACLE_SQL["centroid"] = f"""WITH {_SEQS}, {_ORIENTED}, {_STOPPED}, q AS (SELECT
 mn AS (SELECT locus, id_1 AS id, avg(CAST(distance AS DECIMAL(18, 6))) AS mean FROM pd GROUP BY locus, id_1)
 SELECT locus, allele_id, good FROM (SELECT mn.locus, mn.id AS allele_id, q.good, row_number() OVER (PARTITION BY mn.locus ORDER BY q.good DESC, round(mean, 10), CAST(mn.id AS BIGINT) DESC) AS r FROM mn JOIN q ON mn.id = q.id) WHERE r = 1"""
 ORACLE_SQL["unrepresented"] = f"WITH {_WORDS} SELECT locus, id AS allele_id FROM b WHERE id NOT IN (SELECT id_2 FROM pd WHERE distance < 0.1 AND id_1 < id_2)"
+
+_SCORED = "SELECT l_orderkey AS sample, CAST(l_linenumber AS BIGINT) AS line_no, CAST(round(100 - l_discount * 100, 2) AS DOUBLE) AS pident, CAST(round(l_tax / 10, 4) AS DOUBLE) AS evalue, CAST(l_quantity AS BIGINT) AS length FROM lineitem"
+ORACLE_SQL["significant_hits"] = f"SELECT * FROM ({_SCORED}) WHERE evalue <= CAST(0.005 AS DOUBLE) AND pident >= 95"
+ORACLE_SQL["perfect_hits"] = f"SELECT sample, line_no, pident, length, pident = 100 AND length = line_no + 20 AS perfect FROM ({_SCORED})"
+ORACLE_SQL["predicted_genes"] = f"""WITH {_HITS},
+g AS (SELECT l_orderkey AS sample, l_suppkey % 3 AS contig, CAST(extract(doy FROM l_shipdate) AS BIGINT) AS s, CAST(extract(doy FROM l_shipdate) AS BIGINT) + CAST(l_quantity AS BIGINT) AS e, CAST(l_partkey AS VARCHAR) AS q FROM lineitem WHERE l_returnflag = 'R'),
+n AS (SELECT row_number() OVER () AS id, * FROM h),
+t AS (SELECT n.id, g.s, g.e, g.q, row_number() OVER (PARTITION BY n.id ORDER BY least(g.e, hit_end) - greatest(g.s, hit_start) DESC, g.s, g.e, g.q DESC) AS r FROM n JOIN g ON n.sample = g.sample AND n.contig = g.contig AND g.s <= hit_end AND g.e >= hit_start)
+SELECT sample, contig, line_no, hit_start AS cstart, hit_end AS cend, coalesce(q, 'Sequence not found by the gene predictor') AS predicted_seq, coalesce(CAST(s AS VARCHAR), '-') AS predicted_start, coalesce(CAST(e AS VARCHAR), '-') AS predicted_end
+FROM n LEFT JOIN t ON n.id = t.id AND t.r = 1"""
+ORACLE_SQL["final_sequence"] = f"""WITH {_SEQS},
+w AS (SELECT doc_id, CASE WHEN locus = 'en' THEN substr(seq, length(seq) // 3 + 1) ELSE {_rc('substr(seq, 1, length(seq) // 2 + 1)')} END AS onward FROM a),
+z AS (SELECT doc_id, onward, {_first_stop('onward')} AS stop FROM w)
+SELECT doc_id, CASE WHEN stop > 0 THEN substr(onward, 1, stop + 3) END AS found FROM z"""
+ORACLE_SQL["contig_names"] = "SELECT doc_id, CASE WHEN lang = 'en' THEN source || '|' || doc_id ELSE lang || '|' || source END AS contig FROM documents"
+ORACLE_SQL["mutation_effect"] = """
+SELECT p_partkey, 'Global effect: ' || CASE WHEN p_size < 25 THEN 'DELETION. BLAST sequence length shorter than' WHEN p_size = 25 THEN 'BASE SUBSTITUTION. BLAST sequence length equal to' ELSE 'INSERTION. BLAST sequence length longer than' END
+  || ' matching allele sequence length / Net result: ' || CASE WHEN p_retailprice < 1000 THEN 'ASM. Final gene sequence length shorter' ELSE 'ALM. Final gene sequence length longer' END || ' than matching allele sequence length' AS info
+FROM part"""
+ORACLE_SQL["tag_texts"] = """
+SELECT p_partkey, CASE p_size % 12 WHEN 0 THEN 'LNF' WHEN 1 THEN 'LNF_' || p_partkey WHEN 2 THEN 'LNF_' || p_partkey WHEN 3 THEN CAST(p_partkey AS VARCHAR) WHEN 4 THEN 'NIPH' WHEN 5 THEN 'NIPHEM'
+  WHEN 6 THEN 'PLOT_' || p_partkey WHEN 7 THEN 'TPR_' || p_partkey WHEN 8 THEN 'ERROR not stop codon'
+  ELSE CASE p_size % 12 WHEN 9 THEN 'INF' WHEN 10 THEN 'ASM' ELSE 'ALM' END || '_' || p_brand || '_' || p_partkey || '_' || p_size END AS tag
+FROM part"""

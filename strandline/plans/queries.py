@@ -307,3 +307,66 @@ def similarity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = s.table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("locus"), F.col("item_id").cast("string").alias("allele_id"), letters(F.col("text")).alias("seq"))
     d = s.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sample"), F.lit("1").alias("contig"), letters(F.col("text")).alias("seq"))
     return align.similarity_join(b, d).select("sample", "qseqid", "pident", "length", "sstart", "send", "bitscore")
+
+
+def _scored_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as hits whose identity falls with the discount and whose e-value rises with the tax."""
+    l = s.table(spark, sf_dir, "lineitem")  # noqa: E741
+    return l.select(F.col("l_orderkey").alias("sample"), F.col("l_linenumber").cast("long").alias("line_no"), F.round(100 - F.col("l_discount") * 100, 2).cast("double").alias("pident"), F.round(F.col("l_tax") / 10, 4).cast("double").alias("evalue"), F.col("l_quantity").cast("long").alias("length"))
+
+
+@query
+def significant_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits.significant(_scored_hits(spark, sf_dir), evalue=0.005, identity=95)
+
+
+@query
+def perfect_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _scored_hits(spark, sf_dir)
+    return h.select("sample", "line_no", "pident", "length", hits.is_perfect(F.col("line_no") + 20).alias("perfect"))
+
+
+@query
+def predicted_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as hits, returned ones as predicted genes."""
+    h = s.item_hits(spark, sf_dir).select("sample", "contig", "line_no", F.col("hit_start").alias("cstart"), F.col("hit_end").alias("cend"))
+    l = s.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")  # noqa: E741
+    start = F.dayofyear("l_shipdate").cast("long")
+    genes = l.select(F.col("l_orderkey").alias("sample"), (F.col("l_suppkey") % 3).alias("contig"), start.alias("gene_start"), (start + F.col("l_quantity").cast("long")).alias("gene_end"), F.col("l_partkey").cast("string").alias("gene_seq"))
+    return hits.predicted_gene(h, genes)
+
+
+@query
+def final_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's DNA as a contig, with a hit forward from a third of it for English, else back from its middle."""
+    size = F.length("seq")
+    forward = F.col("locus") == "en"
+    start = F.when(forward, F.floor(size / 3)).otherwise(F.floor(size / 2)).cast("int") + 1
+    found = seqf.final_sequence(F.col("seq"), start, F.when(forward, size).otherwise(0))
+    return s.dna_alleles(spark, sf_dir).select(F.col("ord").alias("doc_id"), found.alias("found"))
+
+
+@query
+def contig_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names out of subject ids, of two parts for English documents, else of four."""
+    d = s.table(spark, sf_dir, "documents")
+    id_ = F.col("doc_id").cast("string")
+    subject = F.when(F.col("lang") == "en", F.concat_ws("|", "source", id_)).otherwise(F.concat_ws("|", F.lit("gnl"), "lang", "source", id_))
+    return d.select("doc_id", seqf.contig_name(subject).alias("contig"))
+
+
+@query
+def mutation_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as calls: the size the found length, 25 the allele's, those below 1000 ASM."""
+    kind = F.when(F.col("p_retailprice") < 1000, "ASM").otherwise("ALM")
+    return s.table(spark, sf_dir, "part").select("p_partkey", seqf.mutation_effect(F.col("p_size"), F.lit(25), kind).alias("info"))
+
+
+KINDS = ["LNF", "LNF_LOW_ID", "LNF_LOW_COVERAGE", "EXACT", "NIPH", "NIPHEM", "PLOT", "TPR", "ERROR", "INF", "ASM", "ALM"]
+
+
+@query
+def tag_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as calls: the kind by their size, brand the locus, the key the allele."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (F.col("p_size") % 12 + 1).cast("int"))
+    return s.table(spark, sf_dir, "part").select("p_partkey", calling.tag_text(kind, F.col("p_brand"), F.col("p_partkey").cast("string"), F.col("p_size")).alias("tag"))
