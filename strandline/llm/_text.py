@@ -7,6 +7,7 @@ In UTF-8 these are exactly the bytes 0-9, a-z and 0x80-0xFF, so words are found
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -86,6 +88,15 @@ def blocks(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def pieces(text: bytes, most: int = BLOCK) -> Iterator[bytes]:
+    """A text as one piece, or a long one in pieces of about `most` bytes that end at ASCII white space."""
+    at = 0
+    while len(text) - at > 2 * most and (found := _SPACE.search(text, at + most)):
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:]
+
+
 @dataclass
 class Words:
     """Words of some texts. per_text: n+1 word offsets; start, end: byte offsets in low."""

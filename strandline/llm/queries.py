@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontamination, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, sharding, token_counts, url_filters
+from strandline.llm import decontamination, filter_audit, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, sharding, simhash, spelling, token_counts, url_filters
 from strandline.llm._shared import read_table
 
 
@@ -50,6 +50,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(read_table(spark, sf_dir, "documents"))
+
+
 _OP1 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -103,6 +115,35 @@ SELECT p.page_id, p.host, CAST(p.fetched AS VARCHAR) AS fetched_on, CAST(coalesc
 FROM p LEFT JOIN g ON p.url = g.url AND p.fetched = g.fetched
 """
 
+_OP11 = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM t),
+f AS (
+  SELECT part, CAST(len(ws) < 50 AS INTEGER) + 2 * CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INTEGER)
+         + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS INTEGER) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+         + 16 * CAST(coalesce(doc_id > least, false) AS INTEGER) AS mask,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM w),
+m AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, mask),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(x, b)),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM l a, l b, l c, l d, l e WHERE (a.b | b.b | c.b | d.b | e.b) = 31),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS f, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (WHERE (mask & (before | f)) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE (mask & before) = 0 AND (mask & f) <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE (mask & before) <> 0 AND (mask & f) <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE mask = f), 0) AS unique_fails,
+         coalesce(sum(m.good) FILTER (WHERE (mask & before) = 0 AND (mask & f) <> 0), 0) AS good_lost,
+         coalesce(sum(m.toxic) FILTER (WHERE (mask & before) = 0 AND (mask & f) <> 0), 0) AS toxic_lost
+  FROM m, s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -114,5 +155,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_url_filters": op9_url_filters,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_spelling": op12_spelling,
+    "op13_simhash": op13_simhash,
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op2_line_dedup": _OP2, "op9_url_filters": _OP9}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op2_line_dedup": _OP2, "op9_url_filters": _OP9, "op11_filter_audit": _OP11}
