@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandline.functions import sequence as seqf
+from strandline.functions.alignment import Scoring
 from strandline.operators import hits as hitsf
-from strandline.operators.align import Scoring, Search, local_alignments, similarity_join
+from strandline.operators.align import Search, local_alignments, similarity_join
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
 from strandline.storage import durable
@@ -44,6 +45,10 @@ class CallConfig:
         return Scoring(self.reward, self.penalty, self.gap_open, self.gap_extend, opens_first=True)
 
 
+#: Ungapped score that a region of the weak search needs, whose words of 11 letters also meet by chance.
+WEAK_TRIGGER = 16
+
+
 def thresholds(alleles: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
     """(locus, locus_mean, min_len, max_len, min_cov, max_cov)."""
     m = F.col("mean").cast("int")
@@ -153,7 +158,7 @@ def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame,
     first = durable(similarity_join(references, contigs, limits), "first")
     tried = contigs.select("sample").distinct().crossJoin(references.select("locus").distinct())
     empty = tried.join(first.select("sample", "locus").distinct(), ["sample", "locus"], "left_anti")
-    weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=4, scoring=config.search_scoring)
+    weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=1, scoring=config.search_scoring, trigger=WEAK_TRIGGER)
     fallback = similarity_join(references.join(empty.select("locus").distinct(), "locus", "left_semi"), contigs.join(empty.select("sample").distinct(), "sample", "left_semi"), weak)
     fallback = durable(fallback.join(empty, ["sample", "locus"], "left_semi"), "fallback")
 

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strandline.functions import sequence as seqf
-from strandline.operators.align import Scoring, align
+from strandline.functions.alignment import Scoring, align
 from strandline.operators.snps import snps
 
 

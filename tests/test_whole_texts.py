@@ -4,7 +4,7 @@ import random
 import pytest
 
 import __spark_entry__ as entry
-from strandline.operators.align import CALL_SCORING, align
+from strandline.functions.alignment import CALL_SCORING, align
 from strandline.plans.surrogates import BASES, LETTERS
 
 
