@@ -123,9 +123,15 @@ def contig_name(subject_id: Column) -> Column:
     return F.when(F.size(parts) > 2, F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), "|")).otherwise(subject_id)
 
 
-def final_sequence(contig: Column, start: Column, end: Column) -> Column:
-    """The gene from a hit's start on its strand to the first in-frame stop codon; null without one."""
-    onward = F.when(start <= end, F.substring(contig, start, F.length(contig))).otherwise(reverse_complement(F.substring(contig, F.lit(1), start)))
+def final_sequence(contig: Column, start: Column, end: Column, turned: Column | None = None) -> Column:
+    """The gene from a hit's start on its strand to the first in-frame stop codon; null without one, or where it is the first codon.
+
+    For an allele stored in reverse (turned) it is read from the hit's end on the other strand.
+    """
+    turned = F.lit(False) if turned is None else turned
+    begin = F.when(turned, end).otherwise(start)
+    back = F.when(turned, end > start).otherwise(start > end)
+    onward = F.when(back, reverse_complement(F.substring(contig, F.lit(1), begin))).otherwise(F.substring(contig, begin, F.length(contig)))
     stop = first_stop(onward)
     return F.when(stop > 0, F.substring(onward, F.lit(1), stop + 3))
 

@@ -12,6 +12,7 @@ from strandline.functions import sequence as seqf
 from strandline.functions.alignment import Scoring
 from strandline.operators import hits as hitsf
 from strandline.operators.align import Search, local_alignments, similarity_join
+from strandline.operators.pieces import final_sequences
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
 from strandline.storage import durable
@@ -119,7 +120,7 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
     alleles in the contigs, of all alleles in what those found, and the best at a lower identity.
     """
     limits = thresholds(alleles, config)
-    sizes = alleles.select("locus", F.col("allele_id").alias("qseqid"), F.length("seq").alias("allele_len"))
+    sizes = alleles.select("locus", F.col("allele_id").alias("qseqid"), F.length("seq").alias("allele_len"), (seqf.direction(F.col("seq")) == "reverse").alias("turned"))
     found = second.join(sizes, ["locus", "qseqid"]).join(limits, "locus").join(contigs.select("sample", "contig", F.col("seq").alias("contig_seq")), ["sample", "contig"])
     found = hitsf.relocate(found, F.col("contig_seq")).filter("cstart IS NOT NULL")
     size = F.length(seqf.ungapped(F.col("sseq")))
@@ -129,9 +130,8 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
         "in_length": hitsf.in_band(size, F.col("min_len"), F.col("max_len")),
         "in_cover": hitsf.in_band(size, F.col("min_cov"), F.col("max_cov")),
         "edge": hitsf.on_contig_edge(F.col("cstart"), F.col("cend"), F.length("contig_seq")),
-        "final_seq": seqf.final_sequence(F.col("contig_seq"), F.col("cstart"), F.col("cend")),
     })
-    row = F.struct(F.col("line_no").alias("o"), "contig", "cstart", "cend", "qseqid", "pident", "length", "mismatch", "gapopen", "bitscore", "sseq", "allele_len", "found_len", "is_perfect", "in_length", "in_cover", "edge", "final_seq")
+    row = F.struct(F.col("line_no").alias("o"), "contig", "cstart", "cend", "qseqid", "pident", "length", "mismatch", "gapopen", "bitscore", "sseq", "allele_len", "found_len", "is_perfect", "in_length", "in_cover", "edge", "turned")
     per = found.groupBy("sample", "locus").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     ranked = F.array_sort("rows", lambda a, b: F.when(a["bitscore"] != b["bitscore"], F.when(a["bitscore"] > b["bitscore"], -1).otherwise(1)).otherwise(F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)))
     per = per.withColumn("perfect_rows", F.filter("rows", lambda r: r["is_perfect"])).withColumn("ranked", ranked)
@@ -140,7 +140,12 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
     per = per.withColumn("seeds", F.when(F.size("perfect_rows") > 0, hitsf.without_overlaps(F.col("perfect_rows"))).otherwise(F.array("best")))
     per = per.withColumn("kept", hitsf.without_overlaps(F.concat("seeds", F.filter("rows", lambda r: r["in_length"]))))
     per = per.withColumn("hit", F.when(F.size("perfect_rows") > 0, F.get("seeds", F.lit(0))).otherwise(F.col("best")))
-    facts = per.select("sample", "locus", F.lit(1).alias("n_second"), (F.size("perfect_rows") > 0).alias("perfect"), F.size("seeds").alias("n_seeds"), F.size("kept").alias("n_kept"), F.col("covered_row").isNotNull().alias("covered"), F.col("hit.edge").alias("on_edge"), (F.col("hit.edge") & (F.col("hit.length") < F.col("hit.allele_len"))).alias("plot"), F.col("hit.final_seq").alias("final_seq"), F.length("hit.final_seq").alias("final_len"), "hit", "kept")
+    facts = per.select("sample", "locus", F.lit(1).alias("n_second"), (F.size("perfect_rows") > 0).alias("perfect"), F.size("seeds").alias("n_seeds"), F.size("kept").alias("n_kept"), F.col("covered_row").isNotNull().alias("covered"), F.col("hit.edge").alias("on_edge"), (F.col("hit.edge") & (F.col("hit.length") < F.col("hit.allele_len"))).alias("plot"), "hit", "kept")
+    facts = durable(facts, "facts")
+    # only what may become INF, ASM, ALM or TPR is read to its stop codon
+    open_ = facts.filter("NOT perfect AND (covered OR on_edge) AND n_kept <= 1 AND NOT plot").select("sample", "locus", "hit.contig", "hit.cstart", "hit.cend", "hit.turned")
+    finals = final_sequences(open_, contigs).select("sample", "locus", "final_seq", "final_len")
+    facts = facts.join(finals, ["sample", "locus"], "left")
 
     n_first = first.groupBy("sample", "locus").agg(F.count("*").alias("n_first"))
     low = hitsf.best(fallback, ["sample", "locus"], [F.col("line_no")]).select("sample", "locus", F.col("qseqid").alias("fallback_allele"), F.col("pident").alias("fallback_pident"))

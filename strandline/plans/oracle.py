@@ -229,6 +229,12 @@ ORACLE_SQL["final_sequence"] = f"""WITH {_SEQS},
 w AS (SELECT doc_id, CASE WHEN locus = 'en' THEN substr(seq, length(seq) // 3 + 1) ELSE {_rc('substr(seq, 1, length(seq) // 2 + 1)')} END AS onward FROM a),
 z AS (SELECT doc_id, onward, {_first_stop('onward')} AS stop FROM w)
 SELECT doc_id, CASE WHEN stop > 0 THEN substr(onward, 1, stop + 3) END AS found FROM z"""
+ORACLE_SQL["final_reads"] = f"""WITH {_SEQS},
+h AS (SELECT doc_id, seq, length(seq) // 3 + 1 AS low, length(seq) // 2 + 1 AS high, (doc_id // 2) % 2 = 1 AS back, doc_id % 2 = 1 AS turned FROM a),
+p AS (SELECT doc_id, seq, turned, CASE WHEN back THEN high ELSE low END AS s, CASE WHEN back THEN low ELSE high END AS e FROM h),
+w AS (SELECT doc_id, CASE WHEN turned AND e > s THEN {_rc('substr(seq, 1, e)')} WHEN turned THEN substr(seq, e) WHEN s > e THEN {_rc('substr(seq, 1, s)')} ELSE substr(seq, s) END AS onward FROM p),
+z AS (SELECT doc_id, onward, {_first_stop('onward')} AS stop FROM w)
+SELECT doc_id, CASE WHEN stop > 0 THEN substr(onward, 1, stop + 3) END AS final_seq, CAST(CASE WHEN stop > 0 THEN stop + 3 END AS BIGINT) AS final_len FROM z"""
 ORACLE_SQL["contig_names"] = "SELECT doc_id, CASE WHEN lang = 'en' THEN source || '|' || doc_id ELSE lang || '|' || source END AS contig FROM documents"
 ORACLE_SQL["mutation_effect"] = """
 SELECT p_partkey, 'Global effect: ' || CASE WHEN p_size < 25 THEN 'DELETION. BLAST sequence length shorter than' WHEN p_size = 25 THEN 'BASE SUBSTITUTION. BLAST sequence length equal to' ELSE 'INSERTION. BLAST sequence length longer than' END

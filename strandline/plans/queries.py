@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandline.functions import sequence as seqf
-from strandline.operators import align, calling, distance, hits, representatives, schema, snps, typing
+from strandline.operators import align, calling, distance, hits, pieces, representatives, schema, snps, typing
 from strandline.plans import surrogates as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,6 +346,17 @@ def final_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.dna_alleles(spark, sf_dir).select(F.col("ord").alias("doc_id"), found.alias("found"))
 
 
+@query
+def final_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's DNA as a contig with a hit from a third to the middle of it: back for every other two documents, its allele stored in reverse for every other one."""
+    a = s.dna_alleles(spark, sf_dir)
+    contigs = a.select(F.col("ord").alias("sample"), F.lit("1").alias("contig"), "seq")
+    size, back = F.length("seq"), F.floor(F.col("ord") / 2) % 2 == 1
+    low, high = (F.floor(size / 3) + 1).cast("int"), (F.floor(size / 2) + 1).cast("int")
+    placed = a.select(F.col("ord").alias("sample"), F.lit("1").alias("contig"), F.when(back, high).otherwise(low).alias("cstart"), F.when(back, low).otherwise(high).alias("cend"), (F.col("ord") % 2 == 1).alias("turned"))
+    return pieces.final_sequences(placed, contigs).select(F.col("sample").alias("doc_id"), "final_seq", F.col("final_len").cast("long").alias("final_len"))
+
+
 @query
 def contig_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names out of subject ids, of two parts for English documents, else of four."""
