@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from strandline.functions import sequence as seqf
 from strandline.functions.alignment import Scoring
 from strandline.operators import hits as hitsf
-from strandline.operators.align import Search, local_alignments, similarity_join
+from strandline.operators.align import Search, local_alignments, query_words, similarity_join
 from strandline.operators.pieces import final_sequences
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
@@ -93,12 +93,22 @@ def decide(facts: DataFrame) -> DataFrame:
     return facts.withColumn("kind", kind)
 
 
-def numbered(calls: DataFrame) -> DataFrame:
-    """calls with idx: for INF, ASM and ALM the order in which a locus first shows a new sequence, over samples in order."""
-    new = calls.filter(F.col("kind").isin("INF", "ASM", "ALM"))
-    first = new.groupBy("locus", "kind", "final_seq").agg(F.min("sample").alias("first_sample"))
+def numbered(calls: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """calls with idx: for INF, ASM and ALM the order in which a locus first shows a new sequence, over samples in order.
+
+    A sequence of the registry(locus, kind, final_seq, idx) keeps its number there; others are
+    numbered on from the registry's greatest.
+    """
+    key = ["locus", "kind", "final_seq"]
+    first = calls.filter(F.col("kind").isin("INF", "ASM", "ALM")).groupBy(*key).agg(F.min("sample").alias("first_sample"))
     rank = F.dense_rank().over(Window.partitionBy("locus", "kind").orderBy("first_sample", "final_seq")) - 1
-    return calls.join(first.select("locus", "kind", "final_seq", rank.alias("idx")), ["locus", "kind", "final_seq"], "left")
+    if registry is None:
+        return calls.join(first.select(*key, rank.alias("idx")), key, "left")
+    known = first.join(registry, key).select(*key, "idx")
+    fresh = first.join(registry, key, "left_anti").withColumn("rank", rank)
+    after = registry.groupBy("locus", "kind").agg((F.max("idx") + 1).alias("after"))
+    fresh = fresh.join(after, ["locus", "kind"], "left").select(*key, (F.coalesce("after", F.lit(0)) + F.col("rank")).cast("int").alias("idx"))
+    return calls.join(known.unionByName(fresh), key, "left")
 
 
 def tag_text(kind: Column, locus: Column, allele: Column, idx: Column) -> Column:
@@ -113,7 +123,7 @@ def tag_text(kind: Column, locus: Column, allele: Column, idx: Column) -> Column
     )
 
 
-def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame, first: DataFrame, second: DataFrame, fallback: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
+def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame, first: DataFrame, second: DataFrame, fallback: DataFrame, config: CallConfig = CallConfig(), registry: DataFrame | None = None) -> DataFrame:
     """One row for each sample and locus, with its tag and the hit it rests on.
 
     first, second and fallback are hits (sample, locus, line_no, contig, HIT_FIELDS): of reference
@@ -152,29 +162,56 @@ def calls_from_hits(samples: DataFrame, alleles: DataFrame, contigs: DataFrame,
     cells = spine(samples, alleles).join(limits, "locus")
     cells = cells.join(n_first, ["sample", "locus"], "left").join(low, ["sample", "locus"], "left").join(facts, ["sample", "locus"], "left")
     cells = cells.fillna({"n_first": 0, "n_second": 0, "n_seeds": 0, "n_kept": 0}).withColumns({c: F.coalesce(c, F.lit(False)) for c in ("perfect", "covered", "on_edge", "plot")})
-    calls = numbered(durable(decide(cells), "calls"))
+    calls = numbered(durable(decide(cells), "calls"), registry)
     allele = F.when(F.col("kind") == "LNF_LOW_ID", F.col("fallback_allele")).otherwise(F.col("hit.qseqid"))
     return calls.withColumn("allele", allele).withColumn("tag", tag_text(F.col("kind"), F.col("locus"), F.col("allele"), F.col("idx"))).drop("rows")
 
 
-def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame, config: CallConfig = CallConfig()) -> DataFrame:
-    """Calls from sequences: two native searches and a fallback, each written once to the shared folder, then the decision list."""
-    limits = Search(identity=config.identity_ref, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps, scoring=config.search_scoring)
-    first = durable(similarity_join(references, contigs, limits), "first")
+@dataclass(frozen=True)
+class SchemaIndex:
+    """The words of a schema for the three searches of a run: references, references by short words, all alleles within their locus."""
+
+    first: DataFrame
+    weak: DataFrame
+    second: DataFrame
+
+
+def _searches(config: CallConfig) -> tuple[Search, Search, Search]:
+    common = {"evalue": config.evalue, "scoring": config.search_scoring}
+    hits = {"max_targets": config.max_targets, "max_hsps": config.max_hsps}
+    return (
+        Search(identity=config.identity_ref, **hits, **common),
+        Search(identity=config.identity_fallback, max_targets=1, max_hsps=1, word=11, stride=1, trigger=WEAK_TRIGGER, **common),
+        Search(identity=config.identity_locus, **hits, **common),
+    )
+
+
+def schema_index(alleles: DataFrame, references: DataFrame, config: CallConfig = CallConfig()) -> SchemaIndex:
+    """The index of a schema, which serves any number of runs; write its tables before where they are many."""
+    first, weak, second = _searches(config)
+    return SchemaIndex(query_words(references, first), query_words(references, weak), query_words(alleles, second, ["locus"]))
+
+
+def call_alleles(alleles: DataFrame, references: DataFrame, contigs: DataFrame, config: CallConfig = CallConfig(), index: SchemaIndex | None = None, registry: DataFrame | None = None) -> DataFrame:
+    """Calls from sequences: two native searches and a fallback, each written once to the shared folder, then the decision list.
+
+    registry: the new sequences of earlier runs, with their numbers (numbered).
+    """
+    index = index or schema_index(alleles, references, config)
+    limits, weak, inner = _searches(config)
+    first = durable(similarity_join(references, contigs, limits, words=index.first), "first")
     tried = contigs.select("sample").distinct().crossJoin(references.select("locus").distinct())
     empty = tried.join(first.select("sample", "locus").distinct(), ["sample", "locus"], "left_anti")
-    weak = Search(identity=config.identity_fallback, evalue=config.evalue, max_targets=1, max_hsps=1, word=11, stride=1, scoring=config.search_scoring, trigger=WEAK_TRIGGER)
-    fallback = similarity_join(references.join(empty.select("locus").distinct(), "locus", "left_semi"), contigs.join(empty.select("sample").distinct(), "sample", "left_semi"), weak)
+    fallback = similarity_join(references.join(empty.select("locus").distinct(), "locus", "left_semi"), contigs.join(empty.select("sample").distinct(), "sample", "left_semi"), weak, words=index.weak)
     fallback = durable(fallback.join(empty, ["sample", "locus"], "left_semi"), "fallback")
 
     low, high = F.least("sstart", "send"), F.greatest("sstart", "send")
     around = first.join(contigs, ["sample", "contig"]).select("sample", "locus", "contig", hitsf.flank(F.col("seq"), low, high, config.flank).alias("seq")).distinct()
     number = F.row_number().over(Window.partitionBy("sample", "locus").orderBy("contig", "seq"))
     fragments = around.withColumn("fragment", F.concat(number.cast("string"), F.lit("_"), "contig"))
-    inner = Search(identity=config.identity_locus, evalue=config.evalue, max_targets=config.max_targets, max_hsps=config.max_hsps, scoring=config.search_scoring)
-    second = similarity_join(alleles, fragments.select("sample", "locus", F.col("fragment").alias("contig"), "seq"), inner, on=["locus"])
+    second = similarity_join(alleles, fragments.select("sample", "locus", F.col("fragment").alias("contig"), "seq"), inner, on=["locus"], words=index.second)
     second = durable(second.withColumn("contig", F.regexp_replace("contig", r"^\d+_", "")), "second")
-    return calls_from_hits(contigs.select("sample"), alleles, contigs, first, second, fallback, config)
+    return calls_from_hits(contigs.select("sample"), alleles, contigs, first, second, fallback, config, registry)
 
 
 def summary_class(tag: Column) -> Column:

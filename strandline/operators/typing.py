@@ -16,13 +16,17 @@ def match_profiles(samples: DataFrame, calls: DataFrame, profiles: DataFrame) ->
     plain = lambda c: F.element_at(F.split(c, "_"), -1)
     p = profiles.select("st", "st_ord", "locus", plain(F.col("allele")).alias("allele"))
     called = calls.select("sample", "locus", plain(F.col("allele")).alias("allele")).filter("allele IS NOT NULL").distinct()
-    need = p.groupBy("st", "st_ord").agg(F.count("*").alias("need"))
-    met = called.join(p.filter("allele <> 'N'"), ["locus", "allele"]).groupBy("sample", "st", "st_ord").agg(F.count("*").alias("met"))
-    open_ = p.filter("allele = 'N'")
-    absent = samples.select("sample").distinct().join(open_).join(called.select("sample", "locus"), ["sample", "locus"], "left_anti")
-    free = absent.groupBy("sample", "st", "st_ord").agg(F.count("*").alias("free"))
-    both = met.join(free, ["sample", "st", "st_ord"], "full").join(need, ["st", "st_ord"])
-    whole = both.filter(F.coalesce("met", F.lit(0)) + F.coalesce("free", F.lit(0)) == F.col("need"))
+    type_ = ["st", "st_ord"]
+    need = p.groupBy(*type_).agg(F.count("*").alias("need"), F.count_if(F.col("allele") == "N").alias("n_open"))
+    met = called.join(p.filter("allele <> 'N'"), ["locus", "allele"]).groupBy("sample", *type_).agg(F.count("*").alias("met")).join(need, type_)
+    # a call at an open locus speaks against a profile; sought only for the pairs that agree at another locus
+    open_ = met.filter("n_open > 0").select("sample", *type_).join(p.filter("allele = 'N'").select(*type_, "locus"), type_)
+    against = open_.join(called.select("sample", "locus").distinct(), ["sample", "locus"]).groupBy("sample", *type_).agg(F.count("*").alias("against"))
+    whole = met.join(against, ["sample", *type_], "left").filter(F.col("met") + F.col("n_open") - F.coalesce("against", F.lit(0)) == F.col("need")).select("sample", *type_)
+    # a profile of open loci only agrees with samples that have no call; the first such profile is one row
+    bare = need.filter("need = n_open").agg(F.min(F.struct("st_ord", "st")).alias("p")).filter("p IS NOT NULL").select("p.st", "p.st_ord")
+    silent = samples.select("sample").distinct().join(called.join(p.select("locus").distinct(), "locus", "left_semi"), "sample", "left_anti")
+    whole = whole.unionByName(silent.join(F.broadcast(bare)))
     first = whole.groupBy("sample").agg(F.min_by("st", "st_ord").alias("st"))
     return samples.select("sample").distinct().join(first, "sample", "left")
 

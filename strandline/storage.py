@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: set[str] = set()
+_scopes = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +33,8 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
     """A fresh folder name below the shared folder; clear_scratch or the end of the driver's process removes it."""
     path = f"{shared_folder(spark)}/strandline/{what}-{uuid.uuid4().hex}"
     _made.add(path)
+    for scope in getattr(_scopes, "open", [])[-1:]:
+        scope.add(path)
     atexit.register(remove, spark, path)
     return path
 
@@ -46,6 +52,19 @@ def remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread makes inside are deleted at the end; what is to stay must have been written elsewhere."""
+    mine: set[str] = set()
+    _scopes.open = [*getattr(_scopes, "open", []), mine]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        for path in mine:
+            remove(spark, path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables made so far; DataFrames that still read them can't be used any more."""
     for path in list(_made):

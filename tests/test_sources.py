@@ -1,10 +1,13 @@
+import os
+import random
 import time
 
 from pyspark.sql import functions as F
 
 from strandline.operators import calling
 from strandline.sources import fasta, tables
-from strandline.streaming.incremental import CONTIGS, call_stream
+from strandline.storage import clear_scratch, shared_folder
+from strandline.streaming.incremental import CONTIGS, call_batch, call_stream
 
 
 def test_fasta(spark, tmp_path):
@@ -64,3 +67,39 @@ def test_stream_calls_each_sample_once(spark, tmp_path):
         time.sleep(0.1)
     got = sorted((r.sample, r.locus) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("s1", "x"), ("s2", "x")]
+
+
+def test_three_batches_equal_one_run(spark, tmp_path):
+    """New sequences keep their numbers over batches, a batch that runs again changes nothing, and no scratch is left."""
+    rng = random.Random(41)
+
+    def gene(n):
+        while True:
+            body = ["".join(rng.choice("ACGT") for _ in range(3)) for _ in range(n)]
+            if not {"TAA", "TAG", "TGA"} & set(body):
+                return "ATG" + "".join(body) + "TAA"
+
+    g = gene(60)
+    swap = lambda at: g[:at] + {"A": "C", "C": "G", "G": "C", "T": "C"}[g[at]] + g[at + 1 :]
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    early = g[:90] + "TAA" + g[93:]
+    kinds = [[("a1", swap(100)), ("a2", g)], [("b1", swap(61)), ("b2", swap(100)), ("b3", early)], [("c1", swap(61)), ("c2", swap(130)), ("c3", early)]]
+    alleles = spark.createDataFrame([("x", "1", g, 0)], "locus string, allele_id string, seq string, ord int")
+    config = calling.CallConfig(percent_length=10, coverage=50)
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    rows = [[(s, "c", dna(300) + seq + dna(300)) for s, seq in part] for part in kinds]
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, CONTIGS).coalesce(1).write.parquet(f"{source}/part={k}")
+        time.sleep(1.1)  # files are taken in the order of their times
+    want = {r.sample: r.tag for r in calling.call_alleles(alleles, alleles, spark.createDataFrame(sum(rows, []), CONTIGS), config).collect()}
+    assert len({t for t in want.values() if t.startswith("INF")}) == 3 and {want["b3"], want["c3"]} == {"ASM_x_1_0"}
+    clear_scratch(spark)
+    query = call_stream(spark, f"{source}/*", alleles, alleles, out, str(tmp_path / "ckpt"), config, files_per_batch=1)
+    query.awaitTermination()
+    read = lambda: {r.sample: (r.tag, r.batch) for r in spark.read.parquet(out).collect()}
+    got = read()
+    assert {s: t for s, (t, _) in got.items()} == want and {b for _, b in got.values()} == {0, 1, 2}
+    call_batch(spark.createDataFrame(rows[1], CONTIGS), 1, alleles, alleles, out, config)
+    assert read() == got
+    left = [d for d, _, files in os.walk(shared_folder(spark).removeprefix("file://") + "/strandline") if files]
+    assert left == []
