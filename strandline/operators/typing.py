@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from strandline.operators.numbering import numbered_in_order
 
 
 def match_profiles(samples: DataFrame, calls: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -43,9 +44,8 @@ def assign_types(samples: DataFrame, calls: DataFrame, profiles: DataFrame) -> D
     rows = rows.crossJoin(F.broadcast(size)).filter(F.size("profile") == F.col("n_loci"))
     rows = rows.withColumn("key", F.to_json("profile")).join(matched.filter("st IS NULL").select("sample"), "sample", "left_semi")
     first = rows.groupBy("key").agg(F.min("sample").alias("first_sample"))
-    number = F.row_number().over(Window.orderBy("first_sample"))  # new types only: as many as unmatched distinct profiles
     known = profiles.select("st").distinct().agg(F.count("*").alias("n_known"))
-    named = first.withColumn("k", number).crossJoin(F.broadcast(known)).select("key", F.concat((F.col("n_known") + F.col("k")).cast("string"), F.lit("_INF")).alias("new_st"))
+    named = numbered_in_order(first, ["first_sample"], "k").crossJoin(F.broadcast(known)).select("key", F.concat((F.col("n_known") + F.col("k")).cast("string"), F.lit("_INF")).alias("new_st"))
     fresh = rows.join(named, "key").select("sample", "new_st")
     out = matched.join(fresh, "sample", "left")
     status = F.when(F.col("st").isNotNull(), F.when(F.endswith("st", F.lit("_INF")), "New").otherwise("Known")).when(F.col("new_st").isNotNull(), "New").otherwise("Unknown")
@@ -61,6 +61,6 @@ def updated_profiles(profiles: DataFrame, types: DataFrame, calls: DataFrame) ->
     """The next version of the profiles: with a row per locus of each new type."""
     last = profiles.agg(F.max("st_ord").alias("last"))
     new = types.filter("status = 'New'").join(profiles.select("st").distinct(), "st", "left_anti").groupBy("st").agg(F.min("sample").alias("sample"))
-    number = F.row_number().over(Window.orderBy(F.split("st", "_")[0].cast("int")))
-    rows = new.withColumn("k", number).crossJoin(F.broadcast(last)).join(calls.select("sample", "locus", "allele"), "sample")
+    new = new.withColumn("at", F.split("st", "_")[0].cast("int"))
+    rows = numbered_in_order(new, ["at"], "k").crossJoin(F.broadcast(last)).join(calls.select("sample", "locus", "allele"), "sample")
     return profiles.unionByName(rows.select("st", (F.col("last") + F.col("k")).cast(profiles.schema["st_ord"].dataType).alias("st_ord"), "locus", "allele"))

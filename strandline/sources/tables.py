@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strandline.operators.calling import SUMMARY_CLASSES, summary
-from strandline.operators.distance import wide
 from strandline.operators.hits import HIT_FIELDS
 
 
@@ -61,15 +60,30 @@ def write_table(rows: DataFrame, path: str, order: list[str]) -> None:
     rows.orderBy(*order).coalesce(1).write.csv(path, sep="\t", header=True)
 
 
+def write_wide(cells: DataFrame, path: str, row: str, column: str, value: str, columns: list[str], head: str) -> None:
+    """A wide table as tab-separated lines in order of `row`, with a column for each of `columns`; a cell without a value is empty.
+
+    Lines are made from one sorted array a row, not by a pivot, so columns may be many thousands;
+    they are written in ranges of the order as numbered parts, each with the header.
+    """
+    names = cells.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], f"`{column}` {cells.schema[column].dataType.simpleString()}, _place int")
+    placed = cells.select(row, column, F.col(value).cast("string").alias("_value")).join(names, column)
+    lines = placed.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("_place", F.coalesce("_value", F.lit(""))))).alias("_cells"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(len(columns) - 1)), lambda i: F.coalesce(F.try_element_at("_cells", i), F.lit(""))) if columns else F.array().cast("array<string>")
+    text = F.array_join(F.concat(F.array(F.col(row).cast("string")), every), "\t").alias("\t".join([head, *map(str, columns)]))
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = lines.repartitionByRange(parts, row).sortWithinPartitions(row).select(text)
+    ordered.write.csv(path, sep="\x01", header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def write_matrix(calls: DataFrame, path: str, loci: list[str]) -> None:
     """The wide matrix: a row per sample, a column per locus."""
-    out = wide(calls, "sample", "locus", "tag", loci).withColumnRenamed("sample", "Sample Name")
-    out.coalesce(1).write.csv(path, sep="\t", header=True)
+    write_wide(calls, path, "sample", "locus", "tag", loci, "Sample Name")
 
 
 def write_distances(distances: DataFrame, path: str, samples: list[str]) -> None:
     """The square matrix of distances."""
-    wide(distances, "sample_1", "sample_2", "distance", samples).coalesce(1).write.csv(path, sep="\t", header=True)
+    write_wide(distances, path, "sample_1", "sample_2", "distance", samples, "sample_1")
 
 
 def write_summary(calls: DataFrame, path: str) -> None:
