@@ -211,6 +211,11 @@ w AS (SELECT locus, id, ord, seq, list_distinct(list_transform(range(1, greatest
 pj AS (SELECT x.locus, x.id AS id_1, y.id AS id_2, len(list_intersect(x.ws, y.ws)) AS both_, len(x.ws) AS n1, len(y.ws) AS n2 FROM w x JOIN w y ON x.locus = y.locus),
 pd AS (SELECT locus, id_1, id_2, round(CASE WHEN id_1 = id_2 THEN 0.0 WHEN both_ = 0 THEN 1.0 ELSE greatest(0.0, -1.0 / 21 * ln(2 * (both_ / (n1 + n2 - both_)) / (1 + both_ / (n1 + n2 - both_)))) END, 6) AS distance FROM pj)"""
 ORACLE_SQL["kmer_distance"] = f"WITH {_WORDS} SELECT locus, id_1, id_2, distance FROM pd"
+ORACLE_SQL["sketch_distance"] = f"""WITH {_WORDS},
+k AS (SELECT locus, id, list_slice(list_sort(list_distinct(list_transform(ws, lambda x: CAST('0x' || substr(md5(x), 1, 15) AS BIGINT)))), 1, 400) AS sk FROM w),
+p AS (SELECT x.locus, x.id AS id_1, y.id AS id_2, x.sk AS a, y.sk AS b, list_slice(list_sort(list_distinct(list_concat(x.sk, y.sk))), 1, 400) AS u FROM k x JOIN k y ON x.locus = y.locus AND x.id <> y.id WHERE list_has_any(x.sk, y.sk)),
+j AS (SELECT locus, id_1, id_2, len(list_intersect(list_intersect(u, a), b)) AS s, len(u) AS n FROM p)
+SELECT locus, id_1, id_2, round(CASE WHEN s = 0 THEN 1.0 ELSE greatest(0.0, -1.0 / 21 * ln(2 * (s / n) / (1 + s / n))) END, 6) AS distance FROM j"""
 ORACLE_SQL["centroid"] = f"""WITH {_SEQS}, {_ORIENTED}, {_STOPPED}, q AS (SELECT CAST(doc_id AS VARCHAR) AS id, {_QUALITY} = 'good_quality' AS good FROM s), {_WORDS},
 mn AS (SELECT locus, id_1 AS id, avg(CAST(distance AS DECIMAL(18, 6))) AS mean FROM pd GROUP BY locus, id_1)
 SELECT locus, allele_id, good FROM (SELECT mn.locus, mn.id AS allele_id, q.good, row_number() OVER (PARTITION BY mn.locus ORDER BY q.good DESC, round(mean, 10), CAST(mn.id AS BIGINT) DESC) AS r FROM mn JOIN q ON mn.id = q.id) WHERE r = 1"""

@@ -279,6 +279,12 @@ def kmer_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return representatives.word_distances(_source_dna(spark, sf_dir)).withColumn("distance", F.round("distance", 6))
 
 
+@query
+def sketch_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances by sketches of 400 hashes of the documents of a source that share one."""
+    return representatives.sketch_distances(_source_dna(spark, sf_dir), size=400).withColumn("distance", F.round("distance", 6))
+
+
 @query
 def centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _source_dna(spark, sf_dir)

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -183,6 +184,23 @@ def test_representatives(spark, genomes):
     assert [r.allele_id for r in representatives.reference_alleles(alleles).collect()] == ["2"]
 
 
+def test_sketches_against_all_words(spark):
+    """Distances of sketches lie within a few standard errors of those of all words, and are the same where a sketch holds all."""
+    rng = random.Random(9)
+    base = "".join(rng.choice("ACGT") for _ in range(3000))
+    rows = [("x", "0", base), ("x", "short", base[:15]), ("x", "none", None), ("y", "0", base)]
+    for k, share in enumerate((0.0005, 0.002, 0.01, 0.03), 1):
+        rows.append(("x", str(k), "".join(rng.choice("ACGT") if rng.random() < share else c for c in base)))
+    alleles = spark.createDataFrame(rows, "locus string, allele_id string, seq string")
+    exact = {(r.id_1, r.id_2): r.distance for r in representatives.near_distances(alleles).collect()}
+    whole = {(r.id_1, r.id_2): r.distance for r in representatives.sketch_distances(alleles, size=10**6).collect()}
+    assert whole.keys() == exact.keys() and all(abs(whole[p] - d) < 1e-12 for p, d in exact.items())
+    for pair, d in {(r.id_1, r.id_2): r.distance for r in representatives.sketch_distances(alleles, size=500).collect()}.items():
+        j = math.exp(-21 * exact[pair]) / (2 - math.exp(-21 * exact[pair]))
+        found = math.exp(-21 * d) / (2 - math.exp(-21 * d))
+        assert abs(found - j) < 5 * math.sqrt(j * (1 - j) / 500) + 1e-9
+
+
 def test_types(spark):
     profiles = spark.createDataFrame([("1", 0, "a", "1"), ("1", 0, "b", "2"), ("2", 1, "a", "1"), ("2", 1, "b", "N"), ("3", 2, "a", "1"), ("3", 2, "b", "2")], "st string, st_ord int, locus string, allele string")
     calls = spark.createDataFrame([("x", "a", "a_1"), ("x", "b", "2"), ("y", "a", "1"), ("z", "a", "9"), ("z", "b", "9"), ("w", "a", "9"), ("w", "b", "9"), ("v", "b", "5")], "sample string, locus string, allele string")
