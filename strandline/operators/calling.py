@@ -291,7 +291,7 @@ def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFram
             F.when(F.col("kind") == "LNF", "Locus not found").when(F.col("kind") == "LNF_LOW_ID", "identity under threshold")
             .when(F.col("kind") == "LNF_LOW_COVERAGE", F.concat(F.lit("hit coverage "), side(blast), F.lit(" threshold"))).otherwise(F.concat(F.lit("new sequence coverage "), side(new), F.lit(" threshold")))
         )
-        return rows.select(*base, F.coalesce("fallback_pident", "h.pident").alias("identity"), blast.alias("hit_coverage"), new.alias("new_coverage"), F.col("h.allele_len").alias("query_length"), "final_len", info.alias("info"))
+        return rows.select(*base, F.coalesce("fallback_pident", "h.pident").alias("identity"), blast.alias("hit_coverage"), new.alias("new_coverage"), F.col("h.allele_len").alias("query_length"), F.col("h.found_len").alias("contig_length"), F.col("final_len").alias("new_length"), info.alias("info"))
     more = [F.col("h.allele_len").alias("query_length"), F.col("h.found_len").alias("contig_length"), F.col("final_len").alias("new_length"), F.col("h.mismatch").alias("mismatch"), F.col("h.gapopen").alias("gaps"), F.col("final_seq").alias("new_sequence")]
     effect = [seqf.mutation_effect(F.col("h.found_len"), F.col("h.allele_len"), F.col("kind")).alias("info")] if kind in ("asm", "alm") else []
     return rows.select(*base, *place, *more, *effect, *predicted)

@@ -14,16 +14,21 @@ from pyspark.sql.window import Window
 EXTENSIONS = ["fasta", "fa", "fna", "ffn", "frn"]
 
 
+def _found(path: str | list[str]) -> list[str]:
+    """Files as they are, folders as patterns of the extensions."""
+    paths = [path] if isinstance(path, str) else path
+    return [p if any(p.endswith(f".{e}") for e in EXTENSIONS) else f"{p.rstrip('/')}/*.{{{','.join(EXTENSIONS)}}}" for p in paths]
+
+
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, name, description, seq, ord) of every record, case kept; files of other extensions are left out.
 
     Records are split by '>' in the text reader, so one file is read by several tasks. ord is the
-    record's order by its place in the file.
+    record's order by its place in the file. What stands before a file's first '>' is no record.
     """
-    paths = [path] if isinstance(path, str) else path
-    found = [p if any(p.endswith(f".{e}") for e in EXTENSIONS) else f"{p.rstrip('/')}/*.{{{','.join(EXTENSIONS)}}}" for p in paths]
-    raw = spark.read.option("lineSep", ">").text(found).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
-    raw = raw.filter(F.length(F.trim("value")) > 0)
+    raw = spark.read.option("lineSep", ">").text(_found(path)).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    raw = raw.withColumn("begins", F.min(F.struct("block", "place")).over(Window.partitionBy("file")))
+    raw = raw.filter((F.struct("block", "place") != F.col("begins")) & (F.length(F.trim("value")) > 0))
     lines = F.split("value", r"\r?\n")
     header = F.trim(F.get(lines, F.lit(0)))
     seq = F.regexp_replace(F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), ""), r"\s", "")
@@ -32,6 +37,19 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(F.url_decode("file").alias("file"), "name", "description", "seq", order.cast("int").alias("ord"))
 
 
+def files_without_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, bytes) of the files with a FASTA extension that hold no record: what read_records passes over in silence.
+
+    Files are listed by name and size alone, as empty ones too must be named.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    listed = []
+    for pattern in map(jvm.org.apache.hadoop.fs.Path, _found(path)):
+        listed += [(x.getPath().getName(), x.getLen()) for x in pattern.getFileSystem(conf).globStatus(pattern) or []]
+    files = spark.createDataFrame(listed, "file string, bytes long")
+    return files.join(read_records(spark, path).select("file").distinct(), "file", "left_anti")
+
+
 def locus_of(file: Column) -> Column:
     return F.split(file, r"\.")[0]
 

@@ -56,8 +56,42 @@ def read_annotation(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(rows: DataFrame, path: str, order: list[str]) -> None:
-    """One tab-separated report with a header, in the given order."""
-    rows.orderBy(*order).coalesce(1).write.csv(path, sep="\t", header=True)
+    """One tab-separated report in the given order: numbered parts, each with the header."""
+    columns = [F.col(f"`{c}`") for c in order]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(parts, *columns).sortWithinPartitions(*columns).write.csv(path, sep="\t", header=True)
+
+
+# The headers of the reports, in order, with the columns that they name here.
+_HEAD = {"Core Gene": "locus", "Sample Name": "sample"}
+_NAMES = {"Gene Annotation": "gene", "Product Annotation": "product"}
+_ALLELE = {"Allele": "allele", "Allele Quality": "quality", "Contig": "contig"}
+_PLACE = {"Contig start": "contig_start", "Contig end": "contig_end"}
+_FOUND = {"Sequence": "sequence", "Predicted Sequence": "predicted_sequence"}
+_SIZES = {"Query length": "query_length", "Contig length": "contig_length", "New sequence length": "new_length"}
+_NEW = _NAMES | _ALLELE | {"Bitscore": "bitscore"} | _SIZES | {"Mismatch": "mismatch", "gaps": "gaps"} | _PLACE | {"New sequence": "new_sequence"}
+_MORE = {"Additional info": "info", "Predicted Sequence": "predicted_sequence"}
+REPORT_HEADERS: dict[str, dict[str, str]] = {
+    "exact": _HEAD | _NAMES | _ALLELE | {"Query length": "query_length"} | _PLACE | _FOUND,
+    "paralog": _HEAD | _NAMES | {"Paralog Tag": "tag", "ID %": "identity"} | _ALLELE | {"Bitscore": "bitscore"} | _PLACE | _FOUND,
+    "inferred": _HEAD | {"INF tag": "tag"} | _NEW | {"Predicted Sequence": "predicted_sequence"},
+    "asm": _HEAD | {"ASM tag": "tag"} | _NEW | _MORE,
+    "alm": _HEAD | {"ALM tag": "tag"} | _NEW | _MORE,
+    "plot": _HEAD | _NAMES | _ALLELE | {"Bitscore": "bitscore"} | _PLACE | _FOUND,
+    "lnf_tpr": _HEAD | _NAMES | {"Tag": "tag", "Allele": "allele", "Allele Quality": "quality", "ID %": "identity", "Blast sequence coverage %": "hit_coverage", "New sequence coverage %": "new_coverage"} | _SIZES | {"Additional info": "info"},
+    "matching_contigs": {"Sample Name": "sample", "Contig": "contig", "Core Gene": "locus", "Allele": "allele", "Contig Start": "contig_start", "Contig Stop": "contig_stop", "Direction": "direction", "Codification": "tag"},
+}
+
+
+def headed(rows: DataFrame, kind: str) -> DataFrame:
+    """A report of calling.report or matching_contigs under its fixed headers, in their order; '-' for what it has no value of."""
+    none = F.lit("-")
+    return rows.select(*[(F.coalesce(F.col(c).cast("string"), none) if c in rows.columns else none).alias(h) for h, c in REPORT_HEADERS[kind].items()])
+
+
+def write_report(rows: DataFrame, path: str, kind: str) -> None:
+    """A report under its fixed headers, ordered by its first two columns."""
+    write_table(headed(rows, kind), path, list(REPORT_HEADERS[kind])[:2])
 
 
 def write_wide(cells: DataFrame, path: str, row: str, column: str, value: str, columns: list[str], head: str) -> None:

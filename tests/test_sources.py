@@ -55,6 +55,24 @@ def test_tables(spark, tmp_path):
     tables.write_each(m.withColumn("x", F.lit("y")), str(tmp_path / "e"))
 
 
+def test_files_without_records(spark, tmp_path):
+    for name, text in (("a.fasta", ">1\nACGT\n"), ("b.fa", ""), ("c d.fna", "no record\n"), ("e.txt", "")):
+        (tmp_path / name).write_text(text)
+    got = {r.file: r.bytes for r in fasta.files_without_records(spark, str(tmp_path)).collect()}
+    assert got["b.fa"] == 0 and "a.fasta" not in got and "e.txt" not in got and set(got) == {"b.fa", "c d.fna"}
+
+
+def test_reports_under_fixed_headers(spark, tmp_path):
+    columns = {"locus": "x", "sample": "s", "gene": "g", "product": "p", "tag": "INF_x_1_0", "allele": "1", "quality": "good_quality", "contig": "c", "bitscore": 9.5, "query_length": 10, "contig_length": 11, "new_length": 12, "mismatch": 1, "gaps": 0, "contig_start": 5, "contig_end": 14, "new_sequence": "ATG"}
+    rows = spark.createDataFrame([tuple(columns.values()), ("a", *list(columns.values())[1:-1], None)], list(columns))
+    tables.write_report(rows, str(tmp_path / "r"), "inferred")
+    back = spark.read.csv(str(tmp_path / "r"), sep="\t", header=True)
+    assert back.columns == ["Core Gene", "Sample Name", "INF tag", "Gene Annotation", "Product Annotation", "Allele", "Allele Quality", "Contig", "Bitscore", "Query length", "Contig length", "New sequence length", "Mismatch", "gaps", "Contig start", "Contig end", "New sequence", "Predicted Sequence"]
+    got = {r["Core Gene"]: r for r in back.collect()}
+    assert got["x"]["New sequence"] == "ATG" and got["a"]["New sequence"] == "-" and got["x"]["Predicted Sequence"] == "-"
+    assert {k: len(v) for k, v in tables.REPORT_HEADERS.items()} == {"exact": 12, "paralog": 14, "inferred": 18, "asm": 19, "alm": 19, "plot": 12, "lnf_tpr": 14, "matching_contigs": 8}
+
+
 def test_stream_calls_each_sample_once(spark, tmp_path):
     gene = "ATG" + "GCTGAACGTTCA" * 15 + "TAA"
     alleles = spark.createDataFrame([("x", "1", gene, 0)], "locus string, allele_id string, seq string, ord int")
