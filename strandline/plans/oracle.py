@@ -138,6 +138,9 @@ ORACLE_SQL["reverse_complement"] = f"WITH {_SEQS} SELECT doc_id, {_rc('seq')} AS
 ORACLE_SQL["seq_direction"] = f"WITH {_SEQS} SELECT doc_id, {_direction('seq')} AS direction FROM a"
 ORACLE_SQL["stop_codon"] = f"WITH {_SEQS} SELECT doc_id, CAST({_first_stop('seq')} AS BIGINT) AS first_stop FROM a"
 ORACLE_SQL["allele_quality"] = f"{_SEQ_ALL} SELECT doc_id, {_QUALITY} AS quality FROM s"
+ORACLE_SQL["coding_filter"] = f"""WITH b AS (SELECT doc_id, lang AS locus, {_DNA} AS seq0 FROM documents),
+a AS (SELECT doc_id, locus, coalesce(CASE WHEN doc_id % 2 = 0 THEN 'ATG' || substr(seq0, 1, {_first_stop('seq0')} + 3) ELSE seq0 END, '') AS seq FROM b),
+{_ORIENTED}, {_STOPPED} SELECT locus, CAST(doc_id AS VARCHAR) AS allele_id FROM s WHERE {_QUALITY} = 'good_quality'"""
 ORACLE_SQL["translate_protein"] = f"WITH {_SEQS} SELECT doc_id, {_protein('seq')} AS protein FROM a"
 ORACLE_SQL["cds_check"] = f"{_SEQ_ALL} SELECT doc_id, {_CODING} AS protein FROM s"
 ORACLE_SQL["quality_counts"] = (

@@ -122,6 +122,15 @@ def schema_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.filter_schema(s.dna_alleles(spark, sf_dir), subsets=True, duplicates=True, non_coding=False).select("locus", "allele_id")
 
 
+@query
+def coding_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-coding rule on documents' DNA, that of even ids begun with a start codon and ended at its first stop."""
+    a = s.dna_alleles(spark, sf_dir)
+    whole = F.concat(F.lit("ATG"), F.substring("seq", F.lit(1), (seqf.first_stop(F.col("seq")) + 3).cast("int")))
+    a = a.withColumn("seq", F.coalesce(F.when(F.col("ord") % 2 == 0, whole).otherwise(F.col("seq")), F.lit("")))
+    return schema.filter_schema(a, non_coding=True).select("locus", "allele_id")
+
+
 @query
 def schema_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.schema_info(s.dna_alleles(spark, sf_dir)).select("locus", "allele_id", "quality", "direction", "coding")
