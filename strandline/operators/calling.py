@@ -12,6 +12,7 @@ from strandline.functions import sequence as seqf
 from strandline.functions.alignment import Scoring
 from strandline.operators import hits as hitsf
 from strandline.operators.align import Search, local_alignments, query_words, similarity_join
+from strandline.operators.genes import best_gene
 from strandline.operators.pieces import final_sequences
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
@@ -255,11 +256,13 @@ def updated_schema(alleles: DataFrame, calls: DataFrame) -> DataFrame:
     return alleles.unionByName(new_alleles(calls, alleles), allowMissingColumns=True)
 
 
-def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFrame | None = None, genes: DataFrame | None = None) -> DataFrame:
+def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFrame | None = None, genes: DataFrame | None = None, by_score: bool = False) -> DataFrame:
     """Rows of one report: exact, paralog, inferred, asm, alm, plot or lnf_tpr.
 
     quality(locus, allele_id, quality); annotation(locus, gene, product) fills the annotation columns.
-    With genes(sample, contig, gene_start, gene_end, gene_seq) all but lnf_tpr get predicted_sequence.
+    With genes(sample, contig, gene_start, gene_end, gene_seq) all but lnf_tpr get predicted_sequence:
+    of the gene that overlaps the hit most or, by_score, of the one that aligns best with it; then
+    exact, paralog and plot rows of alleles that are not of bad quality get '-', no gene is sought for them.
     """
     kinds = {"exact": ["EXACT"], "paralog": ["NIPH", "NIPHEM"], "inferred": ["INF"], "asm": ["ASM"], "alm": ["ALM"], "plot": ["PLOT"], "lnf_tpr": ["LNF", "LNF_LOW_ID", "LNF_LOW_COVERAGE", "TPR"]}[kind]
     rows = calls.filter(F.col("kind").isin(kinds))
@@ -269,7 +272,13 @@ def report(calls: DataFrame, kind: str, quality: DataFrame, annotation: DataFram
     predicted = []
     if genes is not None and kind != "lnf_tpr":
         placed = rows.withColumns({"contig": F.col("h.contig"), "cstart": F.col("h.cstart"), "cend": F.col("h.cend")})
-        rows = hitsf.predicted_gene(placed, genes).drop("contig", "cstart", "cend", "predicted_start", "predicted_end")
+        if by_score:
+            sought = F.lit(True) if kind in ("inferred", "asm", "alm") else F.coalesce(F.startswith("quality", F.lit("bad_quality")), F.lit(False))
+            rows = best_gene(placed.withColumn("sseq", F.when(sought, F.col("h.sseq"))), genes).drop("sseq")
+            rows = rows.withColumn("predicted_seq", F.when(sought, F.col("predicted_seq")).otherwise("-"))
+        else:
+            rows = hitsf.predicted_gene(placed, genes)
+        rows = rows.drop("contig", "cstart", "cend", "predicted_start", "predicted_end")
         predicted = [F.col("predicted_seq").alias("predicted_sequence")]
     missing = F.lit("Not found")
     if annotation is not None:
