@@ -353,7 +353,7 @@ def predicted_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gene_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's DNA as a contig with genes of 900 letters end to end; a hit of 600 for each, from 500 letters into it.
+    """Each document's DNA as a contig with genes of 900 letters end to end; a hit of 300 for each, from 700 letters into it.
 
     Every other gene is predicted with each fifth letter an A: the hit overlaps it more, but aligns better with the next.
     """
@@ -365,7 +365,7 @@ def gene_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = part(start, 900)
     changed = F.when(F.col("k") % 2 == 0, F.regexp_replace(own, "(.{4}).", "$1A")).otherwise(own)
     predicted = tiles.select("sample", "contig", start.alias("gene_start"), (start + F.length(own) - 1).alias("gene_end"), changed.alias("gene_seq"))
-    h = tiles.select("sample", "contig", (start + 500).alias("cstart"), part(start + 500, 600).alias("sseq"), F.length("seq").alias("size")).filter("cstart <= size")
+    h = tiles.select("sample", "contig", (start + 700).alias("cstart"), part(start + 700, 300).alias("sseq"), F.length("seq").alias("size")).filter("cstart <= size")
     h = h.select("sample", "contig", "cstart", (F.col("cstart") + F.length("sseq") - 1).alias("cend"), "sseq")
     return genes.best_gene(h, predicted).select(F.col("contig").cast("long").alias("doc_id"), "cstart", "cend", "predicted_start", "predicted_end", "predicted_seq")
 

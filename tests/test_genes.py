@@ -116,9 +116,9 @@ def test_query_equals_all_pairs(spark, tmp_path):
             own = seq[at : at + 900]
             gene = own if k % 2 else "".join("A" if i % 5 == 4 else x for i, x in enumerate(own))
             rows_g.append(("documents", r.doc_id, at + 1, at + len(own), gene))
-            if at + 500 < len(seq):
-                part = seq[at + 500 : at + 1100]
-                rows_h.append(("documents", r.doc_id, at + 501, at + 500 + len(part), part))
+            if at + 700 < len(seq):
+                part = seq[at + 700 : at + 1000]
+                rows_h.append(("documents", r.doc_id, at + 701, at + 700 + len(part), part))
     got = {("documents", r.doc_id, r.cstart, r.cend): (r.predicted_start, r.predicted_end) for r in queries.QUERIES["gene_by_score"](spark, str(tmp_path)).collect()}
     assert got == by_all_pairs(rows_h, rows_g)
 
