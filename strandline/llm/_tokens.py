@@ -7,7 +7,7 @@ units' ids one after another. Places are taken only where the tokenizer's own ru
 * a byte-level BPE with the usual pattern (no normaliser, no prefix space) ends a pre-token before
   the first white space after other characters, and before the last white space of a run if
   something follows. A single space is such a place unless white space stands on both its sides
-  (or it ends the text after other white space); a text with such a space stays whole;
+  (or it ends the text, or stands before a special string, after other white space); such spaces stay inside their unit;
 * between a CJK ideograph and a full-width mark, for a unit that is still very long;
 * a sentencepiece model whose pieces hold the space mark only in front is cut at single spaces
   between words, if a probe gives equal ids.
@@ -41,8 +41,6 @@ TOGETHER = 4096
 #: Units in each of the two generations that a worker process remembers.
 MOST_UNITS = 1 << 17
 
-#: A space that is no safe place: white space (or nothing) after it and white space before it.
-_UNSAFE = re.compile(r"\s (?=\s|\Z)")
 _CJK = re.compile("(?<=[一-鿿])(?=[、。！，：；？])")
 _WORDS = re.compile(r"(?<=\w) (?=\w)")
 
@@ -93,6 +91,10 @@ class Encoder:
             vocabulary = tokenizer(path).get_vocab()
             self.leads = np.zeros(max(vocabulary.values()) + 1, bool)
             self.leads[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+            special = "".join("|" + re.escape(x.content) for x in tokenizer(path).get_added_tokens_decoder().values())
+            #: a space that is no safe place, and every space that is one
+            self.unsafe = re.compile(rf"\s (?=\s|\Z{special})")
+            self.places = re.compile(rf"(?<!\s) |(?<=\s) (?!\s|\Z{special})")
 
     def _encode(self, units: list[str]) -> list[bytes]:
         if self.model:
@@ -104,11 +106,11 @@ class Encoder:
     def _encode_spaced(self, units: list[str]) -> dict[str, bytes]:
         """The ids of each unit after a space, many in one call of the library.
 
-        Units without white space at their ends are encoded as one text: in its ids a token with a
-        space in front begins each unit, as no unit holds a space itself.
+        Units without white space at their ends and spaces inside are encoded as one text: in its ids a
+        token with a space in front begins each unit.
         """
-        odd = [u for u in units if not u or not u.isprintable()]
-        apart = [u for u in odd if not u or u[0].isspace() or u[-1].isspace()]
+        odd = [u for u in units if not u or not u.isprintable() or " " in u]
+        apart = [u for u in odd if not u or u[0].isspace() or u[-1].isspace() or " " in u]
         out = dict(zip(apart, self._encode([" " + u for u in apart]), strict=True))
         if apart:
             units = list(set(units).difference(apart))
@@ -127,7 +129,7 @@ class Encoder:
             return [text]
         if self.model:
             return _WORDS.split(text) if len(text) > PART else [text]
-        return [text] if _UNSAFE.search(text) else text.split(" ")
+        return self.places.split(text) if self.unsafe.search(text) else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; texts should be about BATCH_BYTES together."""
