@@ -6,8 +6,9 @@ URL and fetch time) is expanded to its lookup keys: its host and each parent dom
 prefix of its path, up to as many segments as the longest listed prefix has. Keys of patterns that
 occur in the lists survive; they and the intervals are sorted together by pattern and time, and each
 key takes the last interval that has begun by then: one pass, however often a pattern was
-listed. A host may have a third of all captures: patterns with more than one in HEAVY of the surviving
-keys (fewer than HEAVY) are dealt over SALTS parts, to each of which their intervals are copied.
+listed. A host may have a third of all captures: keys with more than one in HEAVY of all (fewer than
+HEAVY) meet the lists by a broadcast, and are then dealt over parts of about one in HEAVY each, to
+each of which their intervals are copied.
 
 Kinds: domain (a host or any below it), prefix (host/path at a segment's end), url (the whole URL
 without scheme, query and fragment). Hosts are compared in lower case without port, user and
@@ -29,7 +30,6 @@ from pyspark.sql.window import Window
 
 from strandline.llm._shared import HEAVY, durable
 
-SALTS = 64
 # The surrogate history of the query: days are counted from this date.
 FIRST_DAY = "2024-01-01"
 
@@ -72,22 +72,34 @@ def deepest_prefix(entries: DataFrame) -> int:
     return entries.filter("kind = 'prefix'").agg(F.max(slashes)).first()[0] or 0
 
 
+def _listed_keys(pages: DataFrame, listed: DataFrame) -> DataFrame:
+    """(url, fetched_at, kind, pattern, salts): the lookup keys of the pages that are on a list.
+
+    A key with more than one in HEAVY of all keys, listed or not, never meets in one task: it is taken
+    by a broadcast of the fewer than HEAVY such keys, and gets as many salts as it has shares of one in HEAVY.
+    """
+    key = ["kind", "pattern"]
+    keys = pages.select("url", "fetched_at", F.explode(lookup_keys(F.col("url"), deepest_prefix(listed))).alias("k")).select("url", "fetched_at", "k.*")
+    total = keys.count()
+    counts = keys.groupBy(*key).agg(F.count("*").alias("n"))
+    heavy = durable(counts.filter(F.col("n") * HEAVY > F.lit(total)), "heavy_keys")
+    patterns = listed.select(*key).distinct()
+    salts = F.ceil(F.col("n") * HEAVY / F.lit(max(total, 1))).cast("int").alias("salts")
+    hot = keys.join(F.broadcast(heavy.join(patterns, key, "left_semi").select(*key, salts)), key)
+    rest = keys.join(F.broadcast(heavy.select(*key)), key, "left_anti").join(patterns, key, "left_semi").withColumn("salts", F.lit(1))
+    return durable(hot.unionByName(rest), "keys")
+
+
 def matches(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(url, fetched_at, kind, pattern) for every entry active for a distinct (url, fetched_at) of the captures."""
     listed = durable(validity_intervals(entries), "intervals")
     pages = captures.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
-    keys = pages.select("url", "fetched_at", F.explode(lookup_keys(F.col("url"), deepest_prefix(listed))).alias("k")).select("url", "fetched_at", "k.*")
-    keys = durable(keys.join(listed.select("kind", "pattern").distinct(), ["kind", "pattern"], "left_semi"), "keys")
-    total = keys.count()
-    counts = keys.groupBy("kind", "pattern").agg(F.count("*").alias("n"))
-    heavy = F.broadcast(counts.filter(F.col("n") * HEAVY > F.lit(total)).select("kind", "pattern", F.lit(SALTS).alias("salts")))  # fewer than HEAVY rows
-
-    def salted(df: DataFrame, salt: Column) -> DataFrame:
-        return df.join(heavy, ["kind", "pattern"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", salt).drop("salts")
+    keys = _listed_keys(pages, listed)
+    heavy = F.broadcast(keys.filter("salts > 1").select("kind", "pattern", "salts").distinct())  # fewer than HEAVY rows
 
     never = F.lit(None).cast(listed.schema["active_from"].dataType)
-    of_keys = salted(keys, F.pmod(F.xxhash64("url", "fetched_at"), F.col("salts")).cast("int"))
-    of_lists = salted(listed, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    of_keys = keys.withColumn("salt", F.pmod(F.xxhash64("url", "fetched_at"), F.col("salts")).cast("int"))
+    of_lists = listed.join(heavy, ["kind", "pattern"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
     begun = F.struct("active_from", "active_to")
     both = of_keys.select("kind", "pattern", "salt", F.col("fetched_at").alias("at"), F.lit(1).alias("after"), "url", "fetched_at", F.when(F.lit(False), F.struct(never.alias("active_from"), never.alias("active_to"))).alias("interval"))
     both = both.unionByName(of_lists.select("kind", "pattern", "salt", F.col("active_from").alias("at"), F.lit(0).alias("after"), F.lit(None).cast("string").alias("url"), F.lit(None).cast(captures.schema["fetched_at"].dataType).alias("fetched_at"), begun.alias("interval")))
@@ -98,11 +110,25 @@ def matches(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """captures(url, fetched_at, ...) with n_active, matched (sorted 'kind:pattern' texts) and blocked."""
-    per = matches(captures, entries).groupBy("url", "fetched_at").agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("found"))
+    """captures(url, fetched_at, ...) with n_active, matched (sorted 'kind:pattern' texts) and blocked.
+
+    Captures without URL or time meet nothing and are not shuffled; those of one URL and time that are
+    more than one in HEAVY of all get their matches by a broadcast.
+    """
+    key = ["url", "fetched_at"]
+    per = durable(matches(captures, entries).groupBy(*key).agg(F.sort_array(F.collect_list(F.concat_ws(":", "kind", "pattern"))).alias("found")), "found")
     kept = [c for c in captures.columns if c.lower() not in ("n_active", "matched", "blocked")]
-    rows = captures.select(F.struct(*[f"`{c}`" for c in kept]).alias("row"), "url", "fetched_at").join(per, ["url", "fetched_at"], "left")
+    rows = captures.select(F.struct(*[f"`{c}`" for c in kept]).alias("row"), *key)
+    dated = F.col("url").isNotNull() & F.col("fetched_at").isNotNull()
+    total = rows.count()
+    counts = rows.filter(dated).groupBy(*key).agg(F.count("*").alias("n"))
+    heavy = counts.filter(F.col("n") * HEAVY > F.lit(total)).select(*key)
+    heavy = durable(heavy.join(per, key, "left"), "heavy")
+    hot = rows.join(F.broadcast(heavy), key).select("row", "found")
+    rest = rows.filter(dated).join(F.broadcast(heavy.select(*key)), key, "left_anti").join(per, key, "left").select("row", "found")
+    bare = rows.filter(~dated).select("row", F.lit(None).cast(per.schema["found"].dataType).alias("found"))
     matched = F.coalesce("found", F.array().cast("array<string>"))
+    rows = hot.unionByName(rest).unionByName(bare)
     return rows.select("row.*", F.size(matched).cast("long").alias("n_active"), matched.alias("matched"), (F.size(matched) > 0).alias("blocked"))
 
 

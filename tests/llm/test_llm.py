@@ -238,6 +238,18 @@ def test_units_have_the_ids_of_whole_texts(monkeypatch):
     assert not _tokens.cuttable(other) and _tokens.ids("Two Words", other).tolist() == _tokens.tokenizer(other).encode("Two Words", add_special_tokens=False).ids
 
 
+def test_texts_with_runs_of_white_space_are_cut():
+    """Indented code, tables, trailing blanks and runs of spaces: many short units, the library's ids."""
+    path = _tokens.tokenizer_path()
+    t, own = _tokens.tokenizer(path), _tokens.Encoder(path)
+    code = "".join(f"{' ' * RNG.randint(0, 12)}if x{i} == {i}:   \n{' ' * 8}return  f( a,\t b )  \n \n" for i in range(3000))
+    rows = "".join(f"{i:<9}|   {i * 7:>12} |\t \n" for i in range(3000))
+    for text in (code, rows, "word " * 30_000 + "   and " + "word " * 30_000, "a \n \nb" * 2000, "  <|endoftext|>  x <|endoftext|>   " * 500, " " * 3000 + "end", "end" + " " * 3000):
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    for text in (code, rows, "word " * 30_000 + "   and " + "word " * 30_000):
+        assert max(map(len, own.units(text))) < 60 and len(own.units(text)) > 3000
+
+
 def word_similarity(a, b):
     """1 - edit distance / length of the longer, by the whole table."""
     row = list(range(len(b) + 1))
@@ -582,6 +594,26 @@ def test_hot_pattern(spark):
     assert len(got) == 3003 and sum(r.n_active for r in got) == 3000 + 2 + 2
 
 
+def test_hot_hosts_and_captures(spark, monkeypatch):
+    """Hot keys on a list and on none, one capture a third of all rows, captures without URL or time; against the plain rule, with many and few heavy keys."""
+    day = lambda n: datetime.date(2024, 1, n)
+    entries = spark.createDataFrame([("domain", "hot.org", "add", day(3)), ("domain", "hot.org", "remove", day(9)), ("prefix", "hot.org/p", "add", day(5)), ("url", "rare.net/u", "add", day(2))], "kind string, pattern string, action string, at date")
+    rows = [("http://hot.org/same", day(4))] * 300 + [(f"http://a.hot.org/{i}", day(1 + i % 12)) for i in range(250)] + [(f"http://free.org/{i}", day(4)) for i in range(250)] + [(None, day(4))] * 90 + [("http://hot.org/p/q", None)] * 40
+    rows += [("http://hot.org/p/q", day(6)), ("http://rare.net/u?x", day(2)), ("http://rare.net/u", day(1))] * 2
+    captures = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n int, url string, fetched_at date")
+
+    def rule(url, at):
+        if url is None or at is None:
+            return []
+        on = day(3) <= at < day(9)
+        return sorted((["domain:hot.org"] if "hot.org" in url and on else []) + (["prefix:hot.org/p"] if url.startswith("http://hot.org/p") and at >= day(5) else []) + (["url:rare.net/u"] if "rare.net/u" in url and at >= day(2) else []))
+
+    for most in (2048, 20, 2):
+        monkeypatch.setattr(url_filters, "HEAVY", most)
+        got = {r.n: list(r.matched) for r in url_filters.filter_captures(captures, entries).collect()}
+        assert got == {i: rule(*r) for i, r in enumerate(rows)}
+
+
 def test_clashing_columns_of_shards(spark):
     df = spark.createDataFrame([(i, f"t{i}", 5, "own", i) for i in range(50)], "doc_id long, text string, deal int, task string, bucket long")
     folder = sharding.scratch_dir(spark, "test")
