@@ -13,6 +13,7 @@ from strandline.functions.alignment import Scoring
 from strandline.operators import hits as hitsf
 from strandline.operators.align import Search, local_alignments, query_words, similarity_join
 from strandline.operators.genes import best_gene
+from strandline.operators.numbering import numbered_within
 from strandline.operators.pieces import final_sequences
 from strandline.operators.schema import length_stats
 from strandline.operators.snps import snps
@@ -102,11 +103,16 @@ def numbered(calls: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     """
     key = ["locus", "kind", "final_seq"]
     first = calls.filter(F.col("kind").isin("INF", "ASM", "ALM")).groupBy(*key).agg(F.min("sample").alias("first_sample"))
-    rank = F.dense_rank().over(Window.partitionBy("locus", "kind").orderBy("first_sample", "final_seq")) - 1
+
+    def ranked(rows: DataFrame, name: str) -> DataFrame:
+        """In order of the sequences' first samples; of those with one sample and the same beginning a task takes all."""
+        placed = numbered_within(rows, ["locus", "kind"], ["first_sample", "final_seq"], "place", ["first_sample", F.substring("final_seq", 1, 32)])
+        return placed.withColumn(name, (F.col("place") - 1).cast("int")).drop("place")
+
     if registry is None:
-        return calls.join(first.select(*key, rank.alias("idx")), key, "left")
+        return calls.join(ranked(first, "idx").select(*key, "idx"), key, "left")
     known = first.join(registry, key).select(*key, "idx")
-    fresh = first.join(registry, key, "left_anti").withColumn("rank", rank)
+    fresh = ranked(first.join(registry, key, "left_anti"), "rank")
     after = registry.groupBy("locus", "kind").agg((F.max("idx") + 1).alias("after"))
     fresh = fresh.join(after, ["locus", "kind"], "left").select(*key, (F.coalesce("after", F.lit(0)) + F.col("rank")).cast("int").alias("idx"))
     return calls.join(known.unionByName(fresh), key, "left")
@@ -245,8 +251,7 @@ def new_alleles(calls: DataFrame, alleles: DataFrame) -> DataFrame:
     """Rows (locus, allele_id, seq, description, ord) for the inferred sequences, numbered on from the locus's greatest."""
     found = calls.filter("kind = 'INF'").select("locus", "idx", "final_seq").distinct()
     last = alleles.groupBy("locus").agg(F.max(seqf.allele_number(F.col("allele_id"))).alias("last"), F.max(F.contains("allele_id", F.lit("_"))).alias("prefixed"), F.max("ord").alias("last_ord"))
-    k = F.row_number().over(Window.partitionBy("locus").orderBy("idx"))
-    rows = found.join(last, "locus").withColumn("k", k)
+    rows = numbered_within(found, ["locus"], ["idx"], "k").join(F.broadcast(last), "locus")  # a row for each locus
     number = (F.coalesce("last", F.lit(0)) + F.col("k")).cast("string")
     return rows.select("locus", F.when(F.col("prefixed"), F.concat("locus", F.lit("_"), number)).otherwise(number).alias("allele_id"), F.col("final_seq").alias("seq"), F.lit("inferred").alias("description"), (F.col("last_ord") + F.col("k")).cast("int").alias("ord"))
 
