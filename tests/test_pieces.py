@@ -97,3 +97,15 @@ def test_no_contig_text_in_the_hits(spark):
     calls = calling.call_alleles(alleles, alleles, contigs)
     assert "contig_seq" not in calls.columns and {f.name for f in calls.schema["hit"].dataType.fields}.isdisjoint({"contig_seq", "final_seq"})
     assert [r.kind for r in calls.select("kind").collect()] == ["LNF"] and calls.filter(F.col("final_seq").isNotNull()).count() == 0
+
+
+def test_batches_of_few_letters(monkeypatch):
+    """What is made of long sequences leaves in batches of about LETTERS letters, however many rows came in."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pieces, "LETTERS", 1000)
+    given = pa.RecordBatch.from_pydict({"sample": [f"s{i}" for i in range(200)]})
+    made = ((k, [[0], ["A" * 100]], 100) for k in range(200))
+    got = list(pieces.exploded(given, ["sample"], made, ["sample", "piece", "text"], [pa.int32(), pa.string()]))
+    assert [b.num_rows for b in got] == [10] * 20
+    assert [x for b in got for x in b.column("sample").to_pylist()] == given.column("sample").to_pylist()
